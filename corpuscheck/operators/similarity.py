@@ -14,7 +14,9 @@ Plan (no cross join, no all-pairs enumeration of a group):
 3. Representatives go through a prefix-filtered equi-join (AllPairs/PPJoin,
    public papers): grams are ordered globally by document frequency, each set
    keeps its first ``n - ceil(t*n) + 1`` grams, and two sets with
-   Jaccard >= t must share one of them. Frequent grams sort last, so a gram
+   Jaccard >= t must share one of them. Candidate generation runs on 64-bit
+   gram hashes (small rows, long sort keys); a document whose own grams
+   collide keeps its whole set as prefix, so no true pair is lost. Frequent grams sort last, so a gram
    shared by a large share of the corpus stays out of the join unless the
    documents holding it are near-copies (which are then true answers). Sizes
    that cannot reach ``t`` are cut by ``min(n) >= t * max(n)`` on the join.
@@ -53,9 +55,10 @@ def gram_sets(docs: DataFrame, n: int = T.DEFAULT_NGRAM_SIZE,
               stop_words: Iterable[str] = T.DEFAULT_STOP_WORDS,
               id_col: str = "file_id", text_col: str = "text",
               keep: Iterable[str] = (), persist: bool = True) -> DataFrame:
-    """``(id, norm_hash, n_grams, grams, *keep)`` per document.
+    """``(id, norm_hash, n_grams, grams, tokens, *keep)`` per document.
 
-    ``grams`` is the distinct n-gram set of the significant words. With
+    ``grams`` is the distinct n-gram set of the significant words; ``tokens``
+    their distinct 64-bit hashes, used only to generate candidates. With
     ``persist`` the frame is written under the checkpoint folder, since the
     similarity join reads it several times.
     """
@@ -67,7 +70,9 @@ def gram_sets(docs: DataFrame, n: int = T.DEFAULT_NGRAM_SIZE,
         "id", *keep,
         T.sha256_hex(T.normalized_text("words")).alias("norm_hash"),
         F.array_distinct(T.ngrams("words", n)).alias("grams"),
-    ).withColumn("n_grams", F.size("grams"))
+    )
+    gs = (gs.withColumn("n_grams", F.size("grams"))
+          .withColumn("tokens", F.array_distinct(F.transform("grams", lambda g: F.xxhash64(g)))))
     return materialize(gs, "gram_sets") if persist else gs
 
 
@@ -98,7 +103,9 @@ def pair_jaccard(pairs: DataFrame, gs: DataFrame, left: str = "a", right: str =
 
 
 def _tokens(gs: DataFrame) -> DataFrame:
-    return gs.filter(F.col("n_grams") > 0).select("id", "n_grams", F.explode("grams").alias("g"))
+    """``(id, n_grams, n_tok, h)``: one row per distinct gram hash."""
+    return (gs.filter(F.col("n_grams") > 0)
+            .select("id", "n_grams", F.size("tokens").alias("n_tok"), F.explode("tokens").alias("h")))
 
 
 def _prefix_length(t: float):
@@ -106,18 +113,32 @@ def _prefix_length(t: float):
     return n - F.ceil(n * F.lit(t) - F.lit(EPS)) + 1
 
 
+def _doc_freq(tok: DataFrame) -> DataFrame:
+    """``(h, df)`` for hashes held by more than one document (partial agg)."""
+    return tok.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") > 1)
+
+
 def _prefix_tokens(tok: DataFrame, dfs: DataFrame, t: float, rep_ids: DataFrame) -> DataFrame:
-    """Keep each representative's first grams in (df, gram) order.
+    """Keep each representative's first tokens in the global (df, hash) order.
+
+    Tokens held by one document only sort first and can never meet another
+    set, so they are dropped by the join with ``dfs`` (df > 1) before the
+    window; with ``m`` surviving tokens out of ``n_tok``, the survivor ranked
+    ``r`` sits at global position ``n_tok - m + r``. The window partitions by
+    document (bounded by one document's size).
 
-    The window partitions by document (bounded by one document's size). Grams
-    with df = 1 are dropped after ranking: they cannot meet another set.
+    The prefix is exact for the gram strings as long as a document's grams
+    hash to distinct values; a document where two grams share a hash
+    (``n_tok < n_grams``) keeps all its tokens, which keeps the guarantee.
     """
-    ranked = tok.join(dfs, "g")
-    w = Window.partitionBy("id").orderBy("df", "g")
-    pre = (ranked.withColumn("_pos", F.row_number().over(w))
-           .filter(F.col("_pos") <= _prefix_length(t))
-           .filter(F.col("df") > 1))
-    return pre.join(rep_ids, "id", "left_semi").select("id", "n_grams", "g")
+    ranked = tok.join(dfs, "h")
+    ordered = Window.partitionBy("id").orderBy("df", "h")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    pre = (ranked.withColumn("_r", F.row_number().over(ordered))
+           .withColumn("_m", F.count(F.lit(1)).over(whole))
+           .filter((F.col("n_tok") < F.col("n_grams"))
+                   | (F.col("n_tok") - F.col("_m") + F.col("_r") <= _prefix_length(t))))
+    return pre.join(rep_ids, "id", "left_semi").select("id", "n_grams", "h")
 
 
 def _size_bound(na: str, nb: str, t: float):
@@ -179,11 +200,10 @@ def similar_pairs(gs: DataFrame, threshold: float = T.DEFAULT_THRESHOLD) -> Data
 
     member_rep, rep_ids = _groups(gs)
     tok = _tokens(gs)
-    dfs = tok.groupBy("g").agg(F.count(F.lit(1)).alias("df"))
-    pre = _prefix_tokens(tok, dfs, t, rep_ids)
-    pa = pre.select(F.col("id").alias("a"), F.col("n_grams").alias("na"), "g")
-    pb = pre.select(F.col("id").alias("b"), F.col("n_grams").alias("nb"), "g")
-    cand = (pa.join(pb, "g")
+    pre = _prefix_tokens(tok, _doc_freq(tok), t, rep_ids)
+    pa = pre.select(F.col("id").alias("a"), F.col("n_grams").alias("na"), "h")
+    pb = pre.select(F.col("id").alias("b"), F.col("n_grams").alias("nb"), "h")
+    cand = (pa.join(pb, "h")
             .filter((F.col("a") < F.col("b")) & _size_bound("na", "nb", t))
             .select("a", "b").distinct())
     near_reps = _verify(cand, gs, gs, t, drop_equal_hash=False)
@@ -211,12 +231,12 @@ def cross_similar(probes_gs: DataFrame, corpus_gs: DataFrame,
     p_member, p_reps = _groups(probes_gs)
     c_member, c_reps = _groups(corpus_gs)
     p_tok, c_tok = _tokens(probes_gs), _tokens(corpus_gs)
-    dfs = p_tok.unionByName(c_tok).groupBy("g").agg(F.count(F.lit(1)).alias("df"))
+    dfs = _doc_freq(p_tok.unionByName(c_tok))
     p_pre = _prefix_tokens(p_tok, dfs, t, p_reps).select(
-        F.col("id").alias("a"), F.col("n_grams").alias("na"), "g")
+        F.col("id").alias("a"), F.col("n_grams").alias("na"), "h")
     c_pre = _prefix_tokens(c_tok, dfs, t, c_reps).select(
-        F.col("id").alias("b"), F.col("n_grams").alias("nb"), "g")
-    cand = p_pre.join(c_pre, "g").filter(_size_bound("na", "nb", t)).select("a", "b").distinct()
+        F.col("id").alias("b"), F.col("n_grams").alias("nb"), "h")
+    cand = p_pre.join(c_pre, "h").filter(_size_bound("na", "nb", t)).select("a", "b").distinct()
     near_reps = _verify(cand, probes_gs, corpus_gs, t, drop_equal_hash=True)
     near = (_expand(near_reps, p_member, c_member)
             .select(F.col("x").alias("probe"), F.col("y").alias("doc"),

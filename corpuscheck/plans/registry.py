@@ -285,7 +285,7 @@ def q_incremental_report(spark, sf):
     h_a = RP.analyse(history)
     stored = RP.document_report(history, analysed=h_a)
     stored_edges = S.prior_edges(S.similar_pairs(h_a, 0.3))
-    stored_grams = h_a.select("id", "norm_hash", "grams", "n_grams")
+    stored_grams = h_a.select("id", "norm_hash", "grams", "n_grams", "tokens")
     results, _ = RP.incremental_report(stored, stored_edges, full, stored_grams=stored_grams)
     return _report_view(results)
 

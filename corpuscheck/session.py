@@ -27,6 +27,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Text stages are CPU-bound (regex, n-grams): keep small shuffle
+        # partitions apart instead of merging them up to 1 MB.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # Broadcast only what AQE has measured at run time; static size
         # estimates of exploded/filtered inputs are not a proven bound.
