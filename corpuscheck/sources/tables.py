@@ -17,10 +17,28 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations")
 
 
+# Tables whose rows carry whole texts: per-row work on them is CPU-heavy.
+TEXT_TABLES = ("documents", "pages", "benchmark", "conversations")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy per-row text work at least one split per core.
+
+    A scan with fewer input splits than the session's default parallelism
+    (a few large row groups) is spread round-robin; a large input, which
+    already has many splits, is left as it is and costs nothing extra.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def document_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
