@@ -21,6 +21,8 @@ def upsert_results(base: DataFrame, new: DataFrame, stamp: bool = True) -> DataF
     if stamp:
         incoming = incoming.withColumn("created_at", F.current_timestamp())
     cols = list(incoming.columns)
+    if stamp and "created_at" not in base.columns:
+        base = base.withColumn("created_at", F.lit(None).cast("timestamp"))
     kept = base.select(*cols).join(incoming.select("file_id"), "file_id", "left_anti")
     return kept.unionByName(incoming)
 

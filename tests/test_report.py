@@ -1,0 +1,124 @@
+"""Result tables, report, incremental read-through, stream, entry contract."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from corpuscheck.operators import ingest as I
+from corpuscheck.operators import results as R
+from corpuscheck.plans import report as RP
+from corpuscheck.session import scratch_path
+from corpuscheck.streaming import stream as ST
+
+TEXTS = [
+    (1, "The quick brown fox jumps over the lazy dog near the river bank today."),
+    (2, "The quick brown fox jumps over the lazy dog near the river bank today."),   # byte copy
+    (3, "THE quick brown fox, jumps over the lazy dog near the river bank today!"),  # normalised copy
+    (4, "Completely unrelated words appear here without any overlap whatsoever friend."),
+    (5, "The quick brown fox jumps over the lazy dog near the old mill yesterday."),
+    (6, ""),
+    (7, "the and or"),  # normalises to "" like the empty file
+]
+
+
+def _catalog(spark, rows=TEXTS):
+    ups = spark.createDataFrame([(i, f"f{i}.txt", t) for i, t in rows], "upload_id long, name string, text string")
+    return I.file_catalog(I.prepare_uploads(ups))
+
+
+def _as_dict(df):
+    return {r.file_id: r for r in df.collect()}
+
+
+def test_report_verdicts_point_to_earlier_files(spark):
+    rep = _as_dict(RP.document_report(_catalog(spark)))
+    assert sorted(rep) == [1, 3, 4, 5, 6, 7]          # 2 is a byte copy of 1
+    assert rep[1].is_plagiarism is False and rep[1].similar_file_ids == []
+    assert rep[3].similar_file_ids == [1]
+    assert rep[5].similar_file_ids == [1, 3]
+    assert rep[4].is_plagiarism is False
+    assert rep[7].similar_file_ids == [6]               # both normalise to ""
+    assert (rep[1].paragraph_count, rep[1].word_count, rep[1].character_count) == (1, 14, 70)
+    assert rep[6].word_cloud_location == ""
+
+
+def test_incremental_report_keeps_stored_rows(spark):
+    cat = _catalog(spark)
+    first = cat.filter(F.col("file_id") <= 3)
+    stored = RP.document_report(first)
+    stored_edges = RP.report_edges(first)
+    # a stored row that later files would change stays as stored
+    results, edges = RP.incremental_report(stored, stored_edges, cat)
+    rep = _as_dict(results)
+    full = _as_dict(RP.document_report(cat))
+    assert sorted(rep) == sorted(full)
+    for fid in rep:
+        assert rep[fid].similar_file_ids == full[fid].similar_file_ids
+    assert {(r.file_id, r.similar_file_id) for r in edges.collect()} == \
+        {(3, 1), (5, 1), (5, 3), (7, 6)}
+
+
+def test_missing_content_is_error_for_target_and_skipped_when_compared(spark):
+    cat = _catalog(spark)
+    contents = cat.select("location", "text").filter(F.col("location") != "1")
+    req = spark.createDataFrame([(1,), (3,), (99,)], "file_id long")
+    got = _as_dict(RP.analyze_requests(cat, req, contents))
+    assert got[1].status == "error" and got[1].error == "failed to get file content"
+    assert got[99].error == "file not found with id 99"
+    assert got[3].status == "ok" and got[3].similar_file_ids == []   # 1 is skipped
+
+
+def test_result_tables(spark):
+    base = spark.createDataFrame([(1, 1, 2, 3, False, None), (2, 1, 1, 1, True, "w.png")],
+                                 "file_id long, paragraph_count int, word_count int, character_count int, "
+                                 "is_plagiarism boolean, word_cloud_location string")
+    new = spark.createDataFrame([(2, 5, 5, 5, False, None)], base.schema)
+    up = _as_dict(R.upsert_results(base, new))
+    assert up[2].paragraph_count == 5 and up[1].word_count == 2 and up[2].created_at is not None
+    look = _as_dict(R.result_lookup(base, spark.createDataFrame([(1,), (3,)], "file_id long")))
+    assert look[1].word_cloud_location == "" and look[1].found
+    assert not look[3].found and look[3].error.startswith("analysis result not found")
+    edges = spark.createDataFrame([(2, 1)], "file_id long, similar_file_id long")
+    more = spark.createDataFrame([(2, 1), (3, 1), (3, 1)], edges.schema)
+    assert sorted(tuple(r) for r in R.insert_ignore_similar(edges, more).collect()) == [(2, 1), (3, 1)]
+    sims = _as_dict(R.similar_lookup(edges, spark.createDataFrame([(2,), (5,)], "file_id long")))
+    assert sims[2].similar_file_ids == [1] and sims[5].similar_file_ids == []
+    assert sorted(r.file_id for r in R.analyzed_ids(base).collect()) == [1, 2]
+
+
+def test_stream_two_batches_equal_batch_and_replay_changes_nothing(spark):
+    ups = spark.createDataFrame([(i, f"f{i}.txt", t) for i, t in TEXTS], "upload_id long, name string, text string")
+    base = scratch_path(spark, "stream-test")
+    incoming, root, ckpt = (os.path.join(base, d) for d in ("in", "state", "ckpt"))
+    ST.stage_arrivals(ups, incoming, 2)
+    q = ST.start_stream(spark, incoming, root, ckpt)
+    q.awaitTermination()
+    assert q.exception() is None
+    streamed = _as_dict(ST.stored_report(spark, root))
+    batch = _as_dict(RP.document_report(_catalog(spark)))
+    assert sorted(streamed) == sorted(batch)
+    for fid in batch:
+        assert streamed[fid].similar_file_ids == batch[fid].similar_file_ids
+        assert streamed[fid].word_count == batch[fid].word_count
+    # replaying batch 1 on the same state rewrites identical rows
+    before = sorted(tuple(r) for r in ST.read_state(spark, root, "edges").collect())
+    local = incoming.removeprefix("file:")
+    files = sorted((f for f in os.listdir(local) if f.endswith(".parquet")),
+                   key=lambda f: os.path.getmtime(os.path.join(local, f)))
+    batch1 = spark.read.schema(ST.UPLOAD_SCHEMA).parquet(os.path.join(incoming, files[1]))
+    ST.process_batch(batch1, 1, root)
+    after = sorted(tuple(r) for r in ST.read_state(spark, root, "edges").collect())
+    assert before == after
+
+
+def test_entry_contract(spark):
+    import __spark_entry__ as E
+
+    assert set(E.oracle_sql()) <= set(E.queries())
+    df = E.entry(spark)
+    rows = df.collect()
+    assert len(rows) > 0
+    assert df.columns == ["file_id", "paragraph_count", "word_count", "character_count",
+                          "is_plagiarism", "similar_file_ids", "word_cloud_location"]
