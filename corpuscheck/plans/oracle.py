@@ -108,7 +108,7 @@ MIXED = ("mixed AS (SELECT 'documents' AS origin, doc_id AS upload_id, "
          "UNION ALL SELECT 'pages' AS origin, page_id AS upload_id, printf('page-%d.html', page_id) AS name, "
          "html AS text FROM pages)")
 
-MEDIAN = "(SELECT median(doc_id) FROM documents)"
+MIDPOINT = "(SELECT (min(doc_id) + max(doc_id)) / 2 FROM documents)"
 
 ORACLE_SQL: dict[str, str] = {
     "ingest_text": _with(MIXED) + (
@@ -125,10 +125,10 @@ ORACLE_SQL: dict[str, str] = {
     "incremental_ingest": _with(UPLOADS) + (
         f"SELECT b.upload_id, coalesce(s.known_id, f.batch_id) AS file_id, "
         f"s.known_id IS NOT NULL AS already_stored, s.known_id IS NULL AS new_file "
-        f"FROM (SELECT * FROM up WHERE upload_id >= {MEDIAN}) b "
-        f"JOIN (SELECT content_hash, min(upload_id) AS batch_id FROM up WHERE upload_id >= {MEDIAN} "
+        f"FROM (SELECT * FROM up WHERE upload_id >= {MIDPOINT}) b "
+        f"JOIN (SELECT content_hash, min(upload_id) AS batch_id FROM up WHERE upload_id >= {MIDPOINT} "
         f"GROUP BY content_hash) f USING (content_hash) "
-        f"LEFT JOIN (SELECT content_hash, min(upload_id) AS known_id FROM up WHERE upload_id < {MEDIAN} "
+        f"LEFT JOIN (SELECT content_hash, min(upload_id) AS known_id FROM up WHERE upload_id < {MIDPOINT} "
         f"GROUP BY content_hash) s USING (content_hash)"),
     "hash_lookup": _with(UPLOADS, CATALOG) + (
         "SELECT p.kind, p.probe_id, p.content_hash, c.file_id FROM ("

@@ -5,8 +5,8 @@ names match the DuckDB oracle in ``corpuscheck.plans.oracle``. Lists of ids
 are rendered as ascending comma-joined strings so both engines compare equal.
 
 Arrival order is ascending ``doc_id``. Where an operator needs "stored" data
-and a "new batch", the table is split at its median ``doc_id`` (a scalar
-subquery): the first half arrived earlier, the rest is the batch. Both halves
+and a "new batch", the table is split at the midpoint of its ``doc_id`` range
+(a scalar subquery): the first half arrived earlier, the rest is the batch. Both halves
 are processed, so the work covers the whole table.
 """
 
@@ -45,15 +45,17 @@ def _catalog(spark, sf):
     return I.file_catalog(_prepared(spark, sf))
 
 
-def _median_id(spark, sf):
-    return _docs(spark, sf).select(F.median("doc_id")).scalar()
+def _midpoint_id(spark, sf):
+    """Midpoint of the arrival-id range (two bounded aggregates, a scalar
+    subquery; an exact median would buffer every id in one task)."""
+    return _docs(spark, sf).select((F.min("doc_id") + F.max("doc_id")) / 2).scalar()
 
 
 def _split_catalog(spark, sf):
     """(history catalogue, full catalogue): history is the catalogue of the
-    uploads that arrived before the median id."""
+    uploads that arrived before the midpoint of the id range."""
     prepared = _prepared(spark, sf)
-    history = I.file_catalog(prepared.filter(F.col("upload_id") < _median_id(spark, sf)))
+    history = I.file_catalog(prepared.filter(F.col("upload_id") < _midpoint_id(spark, sf)))
     return history, I.file_catalog(prepared)
 
 
@@ -88,9 +90,9 @@ def q_file_catalog(spark, sf):
 
 def q_incremental_ingest(spark, sf):
     prepared = _prepared(spark, sf)
-    median = _median_id(spark, sf)
-    stored = I.file_catalog(prepared.filter(F.col("upload_id") < median))
-    batch = prepared.filter(F.col("upload_id") >= median)
+    midpoint = _midpoint_id(spark, sf)
+    stored = I.file_catalog(prepared.filter(F.col("upload_id") < midpoint))
+    batch = prepared.filter(F.col("upload_id") >= midpoint)
     new_files, mapping = I.incremental_ingest(stored, batch)
     new_ids = new_files.select("file_id", F.lit(True).alias("new_file"))
     return (mapping.join(new_ids, "file_id", "left")
