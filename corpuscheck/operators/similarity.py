@@ -200,7 +200,8 @@ def similar_pairs(gs: DataFrame, threshold: float = T.DEFAULT_THRESHOLD) -> Data
 
     member_rep, rep_ids = _groups(gs)
     tok = _tokens(gs)
-    pre = _prefix_tokens(tok, _doc_freq(tok), t, rep_ids)
+    # both sides of the self-join read the prefix rows: write them once
+    pre = materialize(_prefix_tokens(tok, _doc_freq(tok), t, rep_ids), "prefix_tokens")
     pa = pre.select(F.col("id").alias("a"), F.col("n_grams").alias("na"), "h")
     pb = pre.select(F.col("id").alias("b"), F.col("n_grams").alias("nb"), "h")
     cand = (pa.join(pb, "h")

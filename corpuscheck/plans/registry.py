@@ -238,12 +238,8 @@ def q_tunable_similarity(spark, sf):
 
 def _history_and_full(spark, sf):
     history, full = _split_catalog(spark, sf)
-    h_a = RP.analyse(history)
-    f_a = RP.analyse(full)
-    h_edges = S.prior_edges(S.similar_pairs(h_a, 0.3))
-    f_edges = S.prior_edges(S.similar_pairs(f_a, 0.3))
-    h_rep = RP.document_report(history, analysed=h_a)
-    f_rep = RP.document_report(full, analysed=f_a)
+    h_rep, h_edges = RP.report_with_edges(history)
+    f_rep, f_edges = RP.report_with_edges(full)
     return h_rep, h_edges, f_rep, f_edges
 
 
@@ -285,8 +281,7 @@ def q_document_report(spark, sf):
 def q_incremental_report(spark, sf):
     history, full = _split_catalog(spark, sf)
     h_a = RP.analyse(history)
-    stored = RP.document_report(history, analysed=h_a)
-    stored_edges = S.prior_edges(S.similar_pairs(h_a, 0.3))
+    stored, stored_edges = RP.report_with_edges(history, analysed=h_a)
     stored_grams = h_a.select("id", "norm_hash", "grams", "n_grams", "tokens")
     results, _ = RP.incremental_report(stored, stored_edges, full, stored_grams=stored_grams)
     return _report_view(results)
