@@ -18,7 +18,7 @@ _PKG_SUBDIR = "corpuscheck"
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "corpuscheck") -> SparkSession:
+                  app: str = "corpuscheck", extra: dict[str, str] | None = None) -> SparkSession:
     """A local session tuned like the cluster profile (AQE on, no UI)."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -39,6 +39,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
