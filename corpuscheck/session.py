@@ -50,14 +50,24 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's shared checkpoint folder, creating a private one
     only when the session names none (local runs and tests)."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a JVM context (Spark Connect)
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
+    else:
+        conf_dir = None
+    conf_dir = conf_dir or spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="corpuscheck-ckpt-")
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", conf_dir)
+    if sc is None:
+        return conf_dir
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
