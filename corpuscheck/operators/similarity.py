@@ -192,6 +192,25 @@ def exact_duplicates(gs: DataFrame) -> DataFrame:
             .select("a", "b", _exact_flag_jaccard("_n").alias("jaccard")))
 
 
+def candidate_pairs(gs: DataFrame, threshold: float, rep_ids: DataFrame | None = None,
+                    persist: bool = True) -> DataFrame:
+    """Distinct ``(a, b)``, ``a < b``, among representatives sharing a prefix
+    token and passing the size bound: a superset of the Jaccard matches."""
+    t = float(threshold)
+    if rep_ids is None:
+        rep_ids = _groups(gs)[1]
+    tok = _tokens(gs)
+    pre = _prefix_tokens(tok, _doc_freq(tok), t, rep_ids)
+    if persist:
+        # both sides of the self-join read the prefix rows: write them once
+        pre = materialize(pre, "prefix_tokens")
+    pa = pre.select(F.col("id").alias("a"), F.col("n_grams").alias("na"), "h")
+    pb = pre.select(F.col("id").alias("b"), F.col("n_grams").alias("nb"), "h")
+    return (pa.join(pb, "h")
+            .filter((F.col("a") < F.col("b")) & _size_bound("na", "nb", t))
+            .select("a", "b").distinct())
+
+
 def similar_pairs(gs: DataFrame, threshold: float = T.DEFAULT_THRESHOLD) -> DataFrame:
     """All unordered similar pairs ``(a, b, exact, jaccard)`` with ``a < b``."""
     T.check_threshold(threshold)
@@ -199,14 +218,7 @@ def similar_pairs(gs: DataFrame, threshold: float = T.DEFAULT_THRESHOLD) -> Data
     exact = exact_duplicates(gs).withColumn("exact", F.lit(True))
 
     member_rep, rep_ids = _groups(gs)
-    tok = _tokens(gs)
-    # both sides of the self-join read the prefix rows: write them once
-    pre = materialize(_prefix_tokens(tok, _doc_freq(tok), t, rep_ids), "prefix_tokens")
-    pa = pre.select(F.col("id").alias("a"), F.col("n_grams").alias("na"), "h")
-    pb = pre.select(F.col("id").alias("b"), F.col("n_grams").alias("nb"), "h")
-    cand = (pa.join(pb, "h")
-            .filter((F.col("a") < F.col("b")) & _size_bound("na", "nb", t))
-            .select("a", "b").distinct())
+    cand = candidate_pairs(gs, t, rep_ids)
     near_reps = _verify(cand, gs, gs, t, drop_equal_hash=False)
     near = (_expand(near_reps, member_rep, member_rep)
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),

@@ -171,3 +171,26 @@ def test_plan_has_no_cartesian_product(spark):
     plan = S.similar_pairs(S.gram_sets(df, 2, persist=False), 0.3)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert F is not None
+
+
+def test_hot_gram_and_copy_group_stay_out_of_the_join(spark):
+    # Every document carries the same boilerplate line (its grams are in all
+    # documents) plus a long unique body; 100 further documents are
+    # normalised copies of one text. Candidate pairs must stay far below
+    # all pairs, and the copy group must not reach the prefix join at all.
+    rnd = random.Random(7)
+    boiler = "licensed under the same terms as the original work of authorship"
+    docs = []
+    for i in range(300):
+        body = " ".join(f"w{rnd.randrange(10**9)}" for _ in range(40))
+        docs.append((i, f"{boiler} {body}"))
+    copy_text = "a shared passage copied many times over by many people here"
+    docs += [(1000 + i, copy_text.upper() if i % 2 else copy_text) for i in range(100)]
+    df = spark.createDataFrame(docs, "file_id long, text string")
+    gs = S.gram_sets(df, 3, persist=False)
+    cand = S.candidate_pairs(gs, 0.3, persist=False).count()
+    assert cand < 300  # all pairs would be ~80k
+    pairs = S.similar_pairs(gs, 0.3)
+    exact = pairs.filter(F.col("exact")).count()
+    assert exact == 100 * 99 // 2
+    assert pairs.filter(~F.col("exact")).count() == 0
