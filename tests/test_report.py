@@ -90,12 +90,9 @@ def test_result_tables(spark):
 
 def test_stream_two_batches_equal_batch_and_replay_changes_nothing(spark):
     ups = spark.createDataFrame([(i, f"f{i}.txt", t) for i, t in TEXTS], "upload_id long, name string, text string")
-    base = scratch_path(spark, "stream-test")
-    incoming, root, ckpt = (os.path.join(base, d) for d in ("in", "state", "ckpt"))
-    ST.stage_arrivals(ups, incoming, 2)
-    q = ST.start_stream(spark, incoming, root, ckpt)
-    q.awaitTermination()
-    assert q.exception() is None
+    root = ST.run_arrivals(ups, scratch_path(spark, "stream-test"), 2)
+    assert sorted(r.batch for r in spark.read.parquet(os.path.join(root, "results"))
+                  .select("batch").distinct().collect()) == [0, 1]
     streamed = _as_dict(ST.stored_report(spark, root))
     batch = _as_dict(RP.document_report(_catalog(spark)))
     assert sorted(streamed) == sorted(batch)
@@ -104,11 +101,8 @@ def test_stream_two_batches_equal_batch_and_replay_changes_nothing(spark):
         assert streamed[fid].word_count == batch[fid].word_count
     # replaying batch 1 on the same state rewrites identical rows
     before = sorted(tuple(r) for r in ST.read_state(spark, root, "edges").collect())
-    local = incoming.removeprefix("file:")
-    files = sorted((f for f in os.listdir(local) if f.endswith(".parquet")),
-                   key=lambda f: os.path.getmtime(os.path.join(local, f)))
-    batch1 = spark.read.schema(ST.UPLOAD_SCHEMA).parquet(os.path.join(incoming, files[1]))
-    ST.process_batch(batch1, 1, root)
+    second = ST.arrival_slices(ups, 2)[1]
+    ST.process_batch(ups.filter(second), 1, root)
     after = sorted(tuple(r) for r in ST.read_state(spark, root, "edges").collect())
     assert before == after
 
