@@ -226,34 +226,74 @@ def similar_pairs(gs: DataFrame, threshold: float = T.DEFAULT_THRESHOLD) -> Data
     return exact.select("a", "b", "exact", "jaccard").unionByName(near)
 
 
+# Largest row count of a probe-side frame that may be broadcast. Prefix rows
+# are (bigint, int, bigint): 2M rows stay well under 100 MB on executors.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def _bounded_broadcast(df: DataFrame, name: str, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Write ``df`` once, count it, and mark it for broadcast only when the
+    count is within ``max_rows``; beyond that the ordinary shuffle join runs."""
+    m = materialize(df, name)
+    return F.broadcast(m) if m.count() <= max_rows else m
+
+
+def _ranked_prefix(tok: DataFrame, dfs: DataFrame, t: float) -> DataFrame:
+    """Prefix of every probe set in the global (df, hash) order; tokens absent
+    from ``dfs`` rank first (df 0). Same collision fallback as the self-join."""
+    ranked = tok.join(dfs, "h", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    w = Window.partitionBy("id").orderBy("df", "h")
+    return (ranked.withColumn("_r", F.row_number().over(w))
+            .filter((F.col("n_tok") < F.col("n_grams")) | (F.col("_r") <= _prefix_length(t)))
+            .select("id", "n_grams", "h"))
+
+
 def cross_similar(probes_gs: DataFrame, corpus_gs: DataFrame,
                   threshold: float = T.DEFAULT_THRESHOLD,
                   exclude_self: bool = True) -> DataFrame:
-    """Similar ``(probe, doc, exact, jaccard)`` pairs between two sets.
-
-    Same plan as ``similar_pairs`` with one prefix per side and a shared
-    gram order; ``exclude_self`` skips a probe meeting its own id.
+    """Similar ``(probe, doc, exact, jaccard)`` pairs between a probe set (a
+    batch) and a corpus.
+
+    One-sided prefix filter: only the probes are ranked; their prefix tokens
+    meet the corpus documents' *full* token lists. If J(r, s) >= t, r's
+    prefix holds a token of s under any global order, so the corpus is never
+    ranked, windowed or collapsed per batch. Document frequencies are counted
+    for the probes' tokens only. Probe-side frames (tokens, prefix,
+    candidates) are broadcast behind a row-count check, so a batch streams
+    over the corpus without shuffling it; past the bound the joins shuffle.
+    ``exclude_self`` skips a probe meeting its own id.
     """
     T.check_threshold(threshold)
     t = float(threshold)
     pm = probes_gs.select(F.col("id").alias("probe"), "norm_hash", F.col("n_grams").alias("_n"))
     cm = corpus_gs.select(F.col("id").alias("doc"), "norm_hash")
-    exact = (pm.join(cm, "norm_hash")
+    exact = (cm.join(_bounded_broadcast(pm, "probe_hashes"), "norm_hash")
              .select("probe", "doc", F.lit(True).alias("exact"), _exact_flag_jaccard("_n").alias("jaccard")))
 
-    p_member, p_reps = _groups(probes_gs)
-    c_member, c_reps = _groups(corpus_gs)
-    p_tok, c_tok = _tokens(probes_gs), _tokens(corpus_gs)
-    dfs = _doc_freq(p_tok.unionByName(c_tok))
-    p_pre = _prefix_tokens(p_tok, dfs, t, p_reps).select(
-        F.col("id").alias("a"), F.col("n_grams").alias("na"), "h")
-    c_pre = _prefix_tokens(c_tok, dfs, t, c_reps).select(
-        F.col("id").alias("b"), F.col("n_grams").alias("nb"), "h")
-    cand = p_pre.join(c_pre, "h").filter(_size_bound("na", "nb", t)).select("a", "b").distinct()
-    near_reps = _verify(cand, probes_gs, corpus_gs, t, drop_equal_hash=True)
-    near = (_expand(near_reps, p_member, c_member)
-            .select(F.col("x").alias("probe"), F.col("y").alias("doc"),
-                    F.lit(False).alias("exact"), "jaccard"))
+    p_tok = materialize(_tokens(probes_gs), "probe_tokens")
+    c_tok = _tokens(corpus_gs).select(F.col("id").alias("b"), F.col("n_grams").alias("nb"), "h")
+    probe_h = _bounded_broadcast(p_tok.select("h").distinct(), "probe_token_set")
+    dfs = (c_tok.select("h").join(probe_h, "h", "left_semi")
+           .groupBy("h").agg(F.count(F.lit(1)).alias("df")))
+    p_pre = _bounded_broadcast(
+        _ranked_prefix(p_tok, dfs, t).select(F.col("id").alias("a"), F.col("n_grams").alias("na"), "h"),
+        "probe_prefix")
+    cand = c_tok.join(p_pre, "h").filter(_size_bound("na", "nb", t))
+    if exclude_self:
+        cand = cand.filter(F.col("a") != F.col("b"))
+    cand = _bounded_broadcast(cand.select("a", "b").distinct(), "candidates")
+
+    a = probes_gs.select(F.col("id").alias("a"), F.col("grams").alias("ga"),
+                         F.col("n_grams").alias("na"), F.col("norm_hash").alias("ha"))
+    b = corpus_gs.select(F.col("id").alias("b"), F.col("grams").alias("gb"),
+                         F.col("n_grams").alias("nb"), F.col("norm_hash").alias("hb"))
+    v = b.join(cand, "b").join(a, "a").filter(F.col("ha") != F.col("hb"))
+    inter = F.size(F.array_intersect("ga", "gb"))
+    v = (v.withColumn("inter", inter)
+         .withColumn("jaccard", F.col("inter") / (F.col("na") + F.col("nb") - F.col("inter")))
+         .filter(F.col("jaccard") >= F.lit(t)))
+    near = v.select(F.col("a").alias("probe"), F.col("b").alias("doc"),
+                    F.lit(False).alias("exact"), "jaccard")
     out = exact.unionByName(near)
     if exclude_self:
         out = out.filter(F.col("probe") != F.col("doc"))

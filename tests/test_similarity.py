@@ -194,3 +194,40 @@ def test_hot_gram_and_copy_group_stay_out_of_the_join(spark):
     exact = pairs.filter(F.col("exact")).count()
     assert exact == 100 * 99 // 2
     assert pairs.filter(~F.col("exact")).count() == 0
+
+
+def _brute_cross(probes, corpus, n, t, exclude_self):
+    def prep(text):
+        w = _sig(text)
+        return hashlib.sha256(" ".join(w).encode()).hexdigest(), _grams(w, n)
+    out = set()
+    for a, ta in probes:
+        ha, ga = prep(ta)
+        for b, tb in corpus:
+            if exclude_self and a == b:
+                continue
+            hb, gb = prep(tb)
+            u = len(ga | gb)
+            if ha == hb or (u and len(ga & gb) / u >= t):
+                out.add((a, b))
+    return out
+
+
+@pytest.mark.parametrize("seed,n,t", [(11, 2, 0.3), (12, 3, 0.2), (13, 1, 0.5)])
+def test_cross_similar_equals_brute_force(spark, seed, n, t):
+    rnd = random.Random(seed)
+    vocab = ["alpha", "beta", "gamma", "delta", "eps", "zeta", "eta", "the"]
+    base = [" ".join(rnd.choice(vocab) for _ in range(rnd.randint(0, 12))) for _ in range(8)]
+    corpus = []
+    for i in range(30):
+        src = rnd.choice(base).split()
+        if src and rnd.random() < 0.5:
+            src.pop(rnd.randrange(len(src)))
+        corpus.append((i, " ".join(src)))
+    probes = corpus[20:] + [(100 + i, rnd.choice(base)) for i in range(6)]   # overlap + new
+    p_df = spark.createDataFrame(probes, "probe_id long, text string")
+    c_df = spark.createDataFrame(corpus, "file_id long, text string")
+    got = {(r.probe, r.doc) for r in S.cross_similar(
+        S.gram_sets(p_df, n, id_col="probe_id", persist=False),
+        S.gram_sets(c_df, n, persist=False), t, exclude_self=True).collect()}
+    assert got == _brute_cross(probes, corpus, n, t, True)
