@@ -1,8 +1,9 @@
 """Result tables: ``analysis_results`` and ``similar_files``.
 
-Plain Parquet has no MERGE, so an upsert is ``anti-join + union`` and a new
-table version is written to a fresh folder (never over the folder being
-read). Writing per version keyed by a batch id makes a rerun idempotent.
+Plain Parquet has no MERGE, so an upsert is ``anti-join + union``; a new
+table version goes to a fresh folder, never over the folder being read (the
+stream keys its state partitions by batch id, which makes a rerun
+idempotent).
 """
 
 from __future__ import annotations
@@ -63,20 +64,3 @@ def similar_lookup(edges: DataFrame, ids: DataFrame, id_col: str = "file_id") ->
 def analyzed_ids(results: DataFrame) -> DataFrame:
     """All analysed ids."""
     return results.select("file_id")
-
-
-def write_version(df: DataFrame, root: str, table: str, version: int | str) -> str:
-    """Write ``df`` as ``root/table/v=<version>`` unless that version exists.
-
-    Writing a version that is already complete is a no-op, so replaying a
-    batch changes nothing."""
-    import os
-
-    path = os.path.join(root, table, f"v={version}")
-    spark = df.sparkSession
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-    if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):  # noqa: SLF001
-        return path
-    df.write.mode("overwrite").parquet(path)
-    return path

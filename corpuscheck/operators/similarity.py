@@ -45,12 +45,6 @@ EPS = 1e-9
 # per-document preparation
 # --------------------------------------------------------------------------
 
-def with_significant_words(docs: DataFrame, text_col: str = "text",
-                           stop_words: Iterable[str] = T.DEFAULT_STOP_WORDS,
-                           out: str = "words") -> DataFrame:
-    return docs.withColumn(out, T.significant_words(text_col, stop_words))
-
-
 def gram_sets(docs: DataFrame, n: int = T.DEFAULT_NGRAM_SIZE,
               stop_words: Iterable[str] = T.DEFAULT_STOP_WORDS,
               id_col: str = "file_id", text_col: str = "text",

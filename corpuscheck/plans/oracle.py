@@ -55,12 +55,6 @@ CATALOG = ("cat AS MATERIALIZED (SELECT min(upload_id) AS file_id, arg_min(name,
            "FROM up GROUP BY content_hash)")
 
 
-def _catalog_of(name: str, source: str) -> str:
-    return (f"{name} AS MATERIALIZED (SELECT min(upload_id) AS file_id, content_hash, "
-            f"arg_min(n_bytes, upload_id) AS n_bytes, arg_min(text, upload_id) AS text "
-            f"FROM {source} GROUP BY content_hash)")
-
-
 def _gram_ctes(src: str, id_col: str, prefix: str, n: int) -> str:
     """``{p}g (id, norm_hash, grams)``, ``{p}gn (id, norm_hash, n)``, ``{p}tok (id, gram)``."""
     p = prefix
