@@ -96,6 +96,18 @@ def pair_jaccard(pairs: DataFrame, gs: DataFrame, left: str = "a", right: str =
             .drop("_ga", "_gb", "_na", "_nb", "_inter"))
 
 
+# Largest row count of a frame that may be broadcast (candidates, probe side). Prefix rows
+# are (bigint, int, bigint): 2M rows stay well under 100 MB on executors.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def _bounded_broadcast(df: DataFrame, name: str, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Write ``df`` once, count it, and mark it for broadcast only when the
+    count is within ``max_rows``; beyond that the ordinary shuffle join runs."""
+    m = materialize(df, name)
+    return F.broadcast(m) if m.count() <= max_rows else m
+
+
 def _tokens(gs: DataFrame) -> DataFrame:
     """``(id, n_grams, n_tok, h)``: one row per distinct gram hash."""
     return (gs.filter(F.col("n_grams") > 0)
@@ -141,11 +153,18 @@ def _size_bound(na: str, nb: str, t: float):
 
 def _verify(cand: DataFrame, gs_a: DataFrame, gs_b: DataFrame, t: float,
             drop_equal_hash: bool) -> DataFrame:
-    a = gs_a.select(F.col("id").alias("a"), F.col("grams").alias("ga"),
-                    F.col("n_grams").alias("na"), F.col("norm_hash").alias("ha"))
-    b = gs_b.select(F.col("id").alias("b"), F.col("grams").alias("gb"),
-                    F.col("n_grams").alias("nb"), F.col("norm_hash").alias("hb"))
-    v = cand.join(a, "a").join(b, "b")
+    """Exact Jaccard of candidate pairs on their gram-string sets.
+
+    Each side of the gram-set table meets the candidates separately; when
+    ``cand`` is a (size-checked) broadcast, both are streaming passes over
+    the gram sets and only candidate-sized rows reach the final shuffle."""
+    a = (gs_a.select(F.col("id").alias("a"), F.col("grams").alias("ga"),
+                     F.col("n_grams").alias("na"), F.col("norm_hash").alias("ha"))
+         .join(cand, "a"))
+    b = (gs_b.select(F.col("id").alias("b"), F.col("grams").alias("gb"),
+                     F.col("n_grams").alias("nb"), F.col("norm_hash").alias("hb"))
+         .join(cand, "b"))
+    v = a.join(b, ["a", "b"])
     if drop_equal_hash:
         v = v.filter(F.col("ha") != F.col("hb"))
     inter = F.size(F.array_intersect("ga", "gb"))
@@ -212,7 +231,7 @@ def similar_pairs(gs: DataFrame, threshold: float = T.DEFAULT_THRESHOLD) -> Data
     exact = exact_duplicates(gs).withColumn("exact", F.lit(True))
 
     member_rep, rep_ids = _groups(gs)
-    cand = candidate_pairs(gs, t, rep_ids)
+    cand = _bounded_broadcast(candidate_pairs(gs, t, rep_ids), "candidates")
     near_reps = _verify(cand, gs, gs, t, drop_equal_hash=False)
     near = (_expand(near_reps, member_rep, member_rep)
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
@@ -220,18 +239,6 @@ def similar_pairs(gs: DataFrame, threshold: float = T.DEFAULT_THRESHOLD) -> Data
     return exact.select("a", "b", "exact", "jaccard").unionByName(near)
 
 
-# Largest row count of a probe-side frame that may be broadcast. Prefix rows
-# are (bigint, int, bigint): 2M rows stay well under 100 MB on executors.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def _bounded_broadcast(df: DataFrame, name: str, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Write ``df`` once, count it, and mark it for broadcast only when the
-    count is within ``max_rows``; beyond that the ordinary shuffle join runs."""
-    m = materialize(df, name)
-    return F.broadcast(m) if m.count() <= max_rows else m
-
-
 def _ranked_prefix(tok: DataFrame, dfs: DataFrame, t: float) -> DataFrame:
     """Prefix of every probe set in the global (df, hash) order; tokens absent
     from ``dfs`` rank first (df 0). Same collision fallback as the self-join."""
