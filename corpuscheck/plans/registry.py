@@ -54,9 +54,11 @@ def _midpoint_id(spark, sf):
 def _split_catalog(spark, sf):
     """(history catalogue, full catalogue): history is the catalogue of the
     uploads that arrived before the midpoint of the id range."""
-    prepared = _prepared(spark, sf)
-    history = I.file_catalog(prepared.filter(F.col("upload_id") < _midpoint_id(spark, sf)))
-    return history, I.file_catalog(prepared)
+    full = I.file_catalog(_prepared(spark, sf))
+    # A file's id is the first upload id of its content, so the catalogue of
+    # the earlier uploads is the full catalogue's rows with smaller ids (same
+    # first id, same first name) - no second dedupe over the text.
+    return full.filter(F.col("file_id") < _midpoint_id(spark, sf)), full
 
 
 def _report_view(rep: DataFrame) -> DataFrame:
