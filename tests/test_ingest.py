@@ -80,3 +80,21 @@ def test_binary_file_source_counts_raw_bytes(spark, tmp_dir):
     assert prepared["b.txt"].content_hash == hashlib.sha256(b"ab\xff\xfecd").hexdigest()
     cat = I.file_catalog(I.prepare_uploads(acc)).collect()
     assert len(cat) == 2  # a.txt and d.txt share bytes
+
+
+def test_spread_only_touches_inputs_with_too_few_splits(spark):
+    from corpuscheck.sources.tables import spread
+
+    target = spark.sparkContext.defaultParallelism
+    many = spark.range(1000).repartition(target * 2)
+    assert spread(many) is many
+    one = spark.range(1000).coalesce(1)
+    assert spread(one).rdd.getNumPartitions() == target
+
+
+def test_checkpoint_folder_comes_from_the_session(spark):
+    from corpuscheck.session import ensure_checkpoint_dir, scratch_path
+
+    base = ensure_checkpoint_dir(spark)
+    assert base == spark.sparkContext.getCheckpointDir()
+    assert scratch_path(spark, "x").startswith(base)
