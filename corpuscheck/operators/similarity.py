@@ -20,9 +20,15 @@ Plan (no cross join, no all-pairs enumeration of a group):
    shared by a large share of the corpus stays out of the join unless the
    documents holding it are near-copies (which are then true answers). Sizes
    that cannot reach ``t`` are cut by ``min(n) >= t * max(n)`` on the join.
-4. Candidates are verified exactly on the full gram-string sets.
+4. Candidates are verified exactly on the full gram-string sets; the
+   candidate list is broadcast behind a row-count check, so the gram sets are
+   streamed rather than shuffled.
 5. Representative pairs are expanded back to the members of both groups.
 
+``cross_similar`` (probes against a corpus: incremental batches, stream,
+benchmark checks) ranks only the probe side and joins its prefix tokens with
+the corpus documents' full token lists, so the corpus is never re-ranked.
+
 Document frequencies come from a partially aggregated ``groupBy``; joining
 them back is an equi-join with one row per key on one side, which AQE can
 split when a gram is hot.
