@@ -116,3 +116,15 @@ def test_entry_contract(spark):
     assert len(rows) > 0
     assert df.columns == ["file_id", "paragraph_count", "word_count", "character_count",
                           "is_plagiarism", "similar_file_ids", "word_cloud_location"]
+
+
+def test_stream_dedupes_content_across_batches(spark):
+    root = os.path.join(scratch_path(spark, "stream-dedupe"), "state")
+    schema = "upload_id long, name string, text string"
+    b0 = spark.createDataFrame([(1, "a.txt", "same words in this file here"), (2, "b.txt", "other")], schema)
+    b1 = spark.createDataFrame([(3, "a2.txt", "same words in this file here"), (4, "c.txt", "new text")], schema)
+    ST.process_batch(b0, 0, root)
+    ST.process_batch(b1, 1, root)
+    cat = sorted((r.file_id, r.name) for r in ST.read_state(spark, root, "catalog").collect())
+    assert cat == [(1, "a.txt"), (2, "b.txt"), (4, "c.txt")]
+    assert sorted(r.file_id for r in ST.read_state(spark, root, "results").collect()) == [1, 2, 4]
