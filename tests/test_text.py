@@ -83,3 +83,10 @@ def test_parameter_checks():
     with pytest.raises(ValueError):
         T.check_ngram_size(0)
     T.check_threshold(1.0)
+
+
+def test_cyrillic_case_and_quote_punctuation(spark):
+    # guillemets (Pi/Pf) and the em dash (Pd) are punctuation; no stop words apply
+    text = "«Привет» — МИР! привет-мир"
+    assert _one(spark, text, T.significant_words) == ["привет", "мир", "привет", "мир"]
+    assert _one(spark, text, T.word_count) == 4
