@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from corpuscheck.llm.op1_mil import op1_attention_mil
 from corpuscheck.llm.op3_rules import op3_quality_rules
+from corpuscheck.llm.op4_rlz import op4_rlz_dedup
+from corpuscheck.llm.op7_jaccard import op7_jaccard_join
 
 QUERIES = {
     "op1_attention_mil": op1_attention_mil,
     "op3_quality_rules": op3_quality_rules,
+    "op4_rlz_dedup": op4_rlz_dedup,
+    "op7_jaccard_join": op7_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
