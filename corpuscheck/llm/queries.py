@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+from corpuscheck.llm import op5_urls, op9_revisits
 from corpuscheck.llm.op1_mil import op1_attention_mil
 from corpuscheck.llm.op3_rules import op3_quality_rules
 from corpuscheck.llm.op4_rlz import op4_rlz_dedup
 from corpuscheck.llm.op7_jaccard import op7_jaccard_join
+from corpuscheck.llm.op8_packing import op8_best_fit_packing
+from corpuscheck.llm.op10_decontamination import op10_decontamination
 
 QUERIES = {
     "op1_attention_mil": op1_attention_mil,
     "op3_quality_rules": op3_quality_rules,
     "op4_rlz_dedup": op4_rlz_dedup,
+    "op5_url_filter": op5_urls.op5_url_filter,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_revisits": op9_revisits.op9_revisits,
+    "op10_decontamination": op10_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_url_filter": op5_urls.SQL,
+    "op9_revisits": op9_revisits.SQL,
+}
