@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpuscheck.llm import op5_urls, op9_revisits
+from corpuscheck.llm import op5_urls, op6_lines, op9_revisits
 from corpuscheck.llm.op1_mil import op1_attention_mil
 from corpuscheck.llm.op3_rules import op3_quality_rules
 from corpuscheck.llm.op4_rlz import op4_rlz_dedup
@@ -15,6 +15,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_rlz_dedup": op4_rlz_dedup,
     "op5_url_filter": op5_urls.op5_url_filter,
+    "op6_line_dedup": op6_lines.op6_line_dedup,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_revisits": op9_revisits.op9_revisits,
@@ -23,5 +24,6 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op5_url_filter": op5_urls.SQL,
+    "op6_line_dedup": op6_lines.SQL,
     "op9_revisits": op9_revisits.SQL,
 }
