@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from corpuscheck.llm import op5_urls, op6_lines, op9_revisits
 from corpuscheck.llm.op1_mil import op1_attention_mil
+from corpuscheck.llm.op2_hpylm import op2_hpylm
 from corpuscheck.llm.op3_rules import op3_quality_rules
 from corpuscheck.llm.op4_rlz import op4_rlz_dedup
 from corpuscheck.llm.op7_jaccard import op7_jaccard_join
@@ -12,6 +13,7 @@ from corpuscheck.llm.op10_decontamination import op10_decontamination
 
 QUERIES = {
     "op1_attention_mil": op1_attention_mil,
+    "op2_hpylm": op2_hpylm,
     "op3_quality_rules": op3_quality_rules,
     "op4_rlz_dedup": op4_rlz_dedup,
     "op5_url_filter": op5_urls.op5_url_filter,
