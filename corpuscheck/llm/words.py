@@ -17,7 +17,7 @@ import pyarrow as pa
 U64 = np.uint64
 
 #: Bytes of text per chunk, and documents per chunk (document numbers fit 16 bits).
-CHUNK_BYTES = 12_000_000
+CHUNK_BYTES = 8_000_000
 CHUNK_DOCS = 60_000
 
 #: Bytes hashed at once; bounds the power tables and the running sums.
