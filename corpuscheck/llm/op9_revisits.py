@@ -10,7 +10,9 @@ headers that a 304 answer may update are merged over the stored ones.
 The as-of join never sorts all captures of one URL in one task: a timeline is
 cut into slices of ``ts``, the last response is carried inside a slice by a
 window and across slices by one row for each slice. Only ids and validators
-take part; the payload is fetched once, by the source's id.
+take part; the payload is fetched once, by the source's id, and the ids wanted
+are written first, so that their known size decides between a broadcast and a
+shuffle.
 
 Defined results: a revisit without an earlier response, or with a NULL or
 malformed URL, is ``unresolved``; different validators give ``mismatch``;
@@ -27,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuscheck.llm import urls
+from corpuscheck.session import materialize
 
 # Headers that a not-modified answer may update; those that
 # describe the stored payload stay as they were.
@@ -66,6 +69,8 @@ def resolve(records: DataFrame) -> DataFrame:
     status = (F.when(F.col("source").isNull(), "unresolved").when(agree.isNull(), "unchecked").when(agree, "resolved").otherwise("mismatch"))
     revisits = (found.filter("kind = 'revisit'").select("record_id", status.alias("status"), F.col("source.id").alias("source_id"))
                 .dropDuplicates(["record_id"]))
+    # written, so that the planner knows its size: while it is small, payloads needn't be shuffled to meet it
+    revisits = materialize(revisits, "warc-revisits")
     stored = (records.filter("kind = 'response'").select(F.col("record_id").alias("source_id"), F.col("headers").alias("stored_headers"),
                                                          F.col("payload").alias("stored_payload")))
     used = revisits.filter("status IN ('resolved', 'unchecked')").select(F.col("source_id")).distinct()
@@ -95,6 +100,7 @@ def archive(pages: DataFrame) -> DataFrame:
     pages = pages.withColumn("digest", F.sha2(F.coalesce("html", F.lit("")), 256)).withColumn("key", urls.canonical_key(F.col("url")))
     seen = latest_before(pages.filter("key IS NOT NULL").select("key", "ts", "record_id", "digest"), F.col("digest"), F.lit(True))
     same = seen.filter(F.col("source") == F.col("digest")).select("record_id").distinct().withColumn("again", F.lit(True))
+    same = materialize(same, "warc-same")
     again = F.coalesce("again", F.lit(False))
     date = F.concat(F.lit("t"), F.col("ts").cast("string"))
     headers = F.when(again, F.create_map(F.lit("etag"), F.substring("digest", 1, 16), F.lit("date"), date, F.lit("content-length"), F.lit("0"))) \
