@@ -2,8 +2,12 @@
 
 The reference is the corpus itself, cut into blocks of 20 consecutive words.
 Every block is indexed under its anchor: the smallest hash among the 8-word
-grams inside it. Equal blocks have equal anchors, so an index partition (a
-range of anchors) sees all occurrences of its blocks and knows the earliest.
+grams inside it, frequent grams last. Equal blocks have equal anchors, so an
+index partition (a range of anchors) sees all occurrences of its blocks and
+knows the earliest. Frequent grams (a table of bounded size, from a pass of
+their own over all documents) anchor only blocks that have nothing else, so
+the many different surroundings of a common passage are spread by their own
+words.
 A document is parsed greedily against blocks that start earlier (smaller
 doc_id, or earlier in the same document): a factor grows as long as the next
 block, one word on, is found too. Each block is looked up by itself, also
@@ -20,7 +24,7 @@ Defined results: NULL, empty and blank texts have no words and the hash of the
 empty string; texts under 20 words lose nothing; rows with the same id are
 judged each on its own text, and equal starts under the same id are not
 earlier than each other; a NULL id counts as the smallest; an empty table
-gives an empty result; other columns are ignored. Blocks compare by 104 hash
+gives an empty result; other columns are ignored. Blocks compare by 103 hash
 bits.
 """
 
@@ -39,14 +43,20 @@ from corpuscheck.llm.words import U64, Chunk, chunks, hash_spans, mix, roll, spl
 
 BLOCK_WORDS = 20
 ANCHOR_WORDS = 8
+#: Runs of an anchor in a chunk that make it a candidate for a frequent gram.
+RECURS = 16
+#: Most frequent grams there can be (an anchor's run has at least two bytes of
+#: text to itself), and the least number of runs that makes one.
+FREQUENT, FREQUENT_LEAST = 200_000, 64
 _NO_ID = -(1 << 63)
 
 RUNS, SPANS = 0, 1
 
 
-def _anchors(h: np.ndarray, k: int, block: int) -> tuple[np.ndarray, np.ndarray]:
-    """For the block at each word: its smallest ``k``-gram hash and where that starts (leftmost)."""
-    value = roll(h, k)
+def _anchors(h: np.ndarray, k: int, block: int, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the block at each word: its smallest ``k``-gram hash, frequent ones last, and where that starts (leftmost)."""
+    value = roll(h, k) >> U64(1)
+    value |= np.isin(value, frequent).astype(U64) << U64(63)
     at = np.arange(len(value), dtype=np.int64)
     width = block - k + 1
 
@@ -63,7 +73,34 @@ def _anchors(h: np.ndarray, k: int, block: int) -> tuple[np.ndarray, np.ndarray]
     return value, at
 
 
-def _send(chunk: Chunk, number: int, buckets: int, block: int):
+def frequent_grams(docs: DataFrame, least: int, block: int = BLOCK_WORDS) -> np.ndarray:
+    """Sorted grams that anchor at least ``least`` runs, of those that recur inside a chunk.
+
+    ``least`` bounds their number: the callers' is a fixed share of all words.
+    """
+    k = min(ANCHOR_WORDS, block)
+
+    def count(bs):
+        for c in chunks(bs):
+            starts, ends, first = split_words(c.data, c.bounds)
+            h = hash_spans(c.data, starts, ends)
+            at, d = windows(first, block)
+            if not len(at):
+                continue
+            value, where = _anchors(h, k, block, np.zeros(0, U64))
+            value, where = value[at], where[at]
+            head = np.ones(len(at), bool)
+            head[1:] = (where[1:] != where[:-1]) | (d[1:] != d[:-1])
+            gram, n = np.unique(value[head], return_counts=True)
+            often = n >= RECURS
+            yield pa.RecordBatch.from_pydict({"gram": gram[often].view(np.int64), "n": n[often]})
+
+    rows = (docs.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+            .filter(F.col("n") >= least).select("gram").toPandas())
+    return np.sort(rows["gram"].to_numpy(np.int64).view(U64))
+
+
+def _send(chunk: Chunk, number: int, buckets: int, block: int, frequent: np.ndarray):
     ids = chunk.rows.column("doc_id").fill_null(_NO_ID).to_numpy()
     fps = chunk.rows.column("fp").to_numpy()
     starts, ends, first = split_words(chunk.data, chunk.bounds)
@@ -72,7 +109,7 @@ def _send(chunk: Chunk, number: int, buckets: int, block: int):
     if not len(at):
         return
     k = min(ANCHOR_WORDS, block)
-    value, where = _anchors(h, k, block)
+    value, where = _anchors(h, k, block, frequent)
     value, where = value[at], where[at]
     whole = roll(h, block)[at]
     # a run: neighbouring blocks of a document under one occurrence of an anchor
@@ -94,7 +131,10 @@ def _send(chunk: Chunk, number: int, buckets: int, block: int):
                                                           size[later].astype(np.uint32))
     left = np.flatnonzero(~later)
     left = left[np.argsort(anchor[left], kind="stable")]
-    bucket = ((anchor[left] >> U64(32)) * U64(buckets)) >> U64(32)
+    spread = mix(anchor[left]) >> U64(32)
+    bucket = (spread * U64(buckets)) >> U64(32)
+    order = np.argsort(bucket, kind="stable")
+    left, bucket = left[order], bucket[order]
     cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=U64))
     for b in range(buckets):
         mine = left[cuts[b]:cuts[b + 1]]
@@ -165,10 +205,12 @@ def factors(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     """
     partitions = blobs.text_partitions(docs)
     buckets = 2 * partitions
+    # every run has bytes of its own, so at most FREQUENT grams reach this count
+    frequent = frequent_grams(docs, max(FREQUENT_LEAST, partitions * blobs.BYTES_PER_PARTITION // FREQUENT), block)
 
     def send(bs):
         for number, c in zip(blobs.chunk_numbers(), chunks(bs)):
-            yield from blobs.batches(_send(c, number, buckets, block))
+            yield from blobs.batches(_send(c, number, buckets, block, frequent))
 
     return blobs.reduce_buckets(docs.mapInArrow(send, blobs.SCHEMA), partitions, _lookup, _SPAN_DDL)
 
