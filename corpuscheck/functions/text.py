@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values (must equal the original service's) ----------------------
@@ -139,3 +139,18 @@ def check_ngram_size(n: int) -> None:
 def check_threshold(t: float) -> None:
     if not (0.0 < float(t) <= 1.0):
         raise ValueError(f"similarity threshold must be in (0, 1], got {t!r}")
+
+
+def counted(rows: DataFrame, items: str, *keep: str) -> DataFrame:
+    """``rows`` with ``counted``: an array of ``(item, value)``, the distinct
+    entries of the array column ``items`` and how often each occurs.
+
+    The sorted array is cut where neighbours differ; each step is a named
+    column, so that no lambda derives it again.
+    """
+    ordered = rows.select(*keep, F.sort_array(items).alias("_s"))
+    starts = ordered.withColumn("_at", F.expr(
+        "IF(size(_s) > 0, filter(sequence(1, size(_s)), i -> i = 1 OR _s[i - 1] <> get(_s, i - 2)), CAST(array() AS array<int>))"))
+    return starts.select(*keep, F.expr(
+        "transform(_at, (a, j) -> named_struct('item', _s[a - 1], "
+        "'value', coalesce(get(_at, j + 1), size(_s) + 1) - a))").alias("counted"))

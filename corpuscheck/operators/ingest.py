@@ -12,7 +12,9 @@ Rules kept from the original service:
 
 Dedupe is a ``groupBy(content_hash)`` with partial aggregation, so a hash that
 holds a large share of all uploads collapses to one row per map task before
-the shuffle; no window runs over a hash group.
+the shuffle; no window runs over a hash group. Texts take no part in it: the
+catalogue's texts are fetched by the winning ids, and only where they are
+asked for.
 """
 
 from __future__ import annotations
@@ -22,8 +24,8 @@ from pyspark.sql import functions as F
 
 from corpuscheck.functions import text as T
 
-REASON_NO_CONTENT = "no file provided"
-REASON_NOT_TXT = "only .txt files are allowed"
+REASON_NO_CONTENT = "no content"
+REASON_NOT_TXT = "name does not end in .txt"
 
 
 def _accept_reason(name: Column, content: Column) -> Column:
@@ -49,7 +51,8 @@ def prepare_uploads(uploads: DataFrame) -> DataFrame:
 
     Hash and byte count come from the raw bytes when a ``content`` column is
     present (invalid UTF-8 then still counts as raw bytes); otherwise from the
-    UTF-8 bytes of ``text``.
+    UTF-8 bytes of ``text``. Uploads have passed the gate, so content is
+    present; a NULL would count as the empty hash.
     """
     if "content" in uploads.columns:
         src = F.col("content")
@@ -60,15 +63,17 @@ def prepare_uploads(uploads: DataFrame) -> DataFrame:
     return uploads.select(
         F.col("upload_id").cast("long").alias("upload_id"),
         F.col("name"),
-        T.sha256_hex(src).alias("content_hash"),
+        # never NULL, so that a join on it needs no second sha2 to filter NULLs
+        F.coalesce(T.sha256_hex(src), F.lit("")).alias("content_hash"),
         T.character_count(src).alias("n_bytes"),
         text.alias("text"),
     )
 
 
 def content_fingerprint(uploads: DataFrame) -> DataFrame:
-    """``(upload_id, name, content_hash)`` for every upload."""
-    return prepare_uploads(uploads).select("upload_id", "name", "content_hash")
+    """``(upload_id, name, content_hash)`` for every upload; no content, no hash."""
+    src = "content" if "content" in uploads.columns else "text"
+    return uploads.select(F.col("upload_id").cast("long").alias("upload_id"), "name", T.sha256_hex(src).alias("content_hash"))
 
 
 def upload_mapping(prepared: DataFrame) -> DataFrame:
@@ -83,25 +88,25 @@ def upload_mapping(prepared: DataFrame) -> DataFrame:
     return ids.join(first, "content_hash").select("upload_id", "file_id")
 
 
-def file_catalog(prepared: DataFrame) -> DataFrame:
+def file_catalog(prepared: DataFrame, with_text: bool = True) -> DataFrame:
     """One row per distinct content: the first upload's id and name win.
 
-    Returns ``(file_id, name, content_hash, location, n_bytes, text)``.
+    Returns ``(file_id, name, content_hash, location, n_bytes)`` and ``text``.
+    Without texts nothing but hashes, names and counts is shuffled.
     """
     first = (prepared.groupBy("content_hash")
-             .agg(F.min_by(F.struct("upload_id", "name", "n_bytes", "text"),
-                           F.col("upload_id")).alias("f")))
-    return first.select(
-        F.col("f.upload_id").alias("file_id"),
-        F.col("f.name").alias("name"),
-        F.col("content_hash"),
-        F.col("f.upload_id").cast("string").alias("location"),
-        F.col("f.n_bytes").alias("n_bytes"),
-        F.col("f.text").alias("text"),
-    )
-
-
-def incremental_ingest(catalog: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+             .agg(F.min("upload_id").alias("file_id"),
+                  F.min_by("name", "upload_id").alias("name"),
+                  F.min_by("n_bytes", "upload_id").alias("n_bytes"))
+             .select("file_id", "name", "content_hash",
+                     F.col("file_id").cast("string").alias("location"), "n_bytes"))
+    if not with_text:
+        return first
+    texts = prepared.select(F.col("upload_id").alias("file_id"), "text")
+    return first.join(texts, "file_id")
+
+
+def incremental_ingest(catalog: DataFrame, batch: DataFrame, with_text: bool = True) -> tuple[DataFrame, DataFrame]:
     """Ingest a prepared batch against a stored catalogue.
 
     Returns ``(new_files, mapping)``: ``new_files`` are catalogue rows for
@@ -109,9 +114,11 @@ def incremental_ingest(catalog: DataFrame, batch: DataFrame) -> tuple[DataFrame,
     maps every batch upload to the stored id when its hash is known, else to
     the new id. The new catalogue is ``catalog.unionByName(new_files)``.
     """
-    batch_files = file_catalog(batch)
+    batch_files = file_catalog(batch, with_text=False)
     known = catalog.select("content_hash", F.col("file_id").alias("known_id"))
     new_files = batch_files.join(known, "content_hash", "left_anti")
+    if with_text:
+        new_files = new_files.join(batch.select(F.col("upload_id").alias("file_id"), "text"), "file_id")
     ids = batch.select("upload_id", "content_hash")
     first_in_batch = batch_files.select("content_hash", F.col("file_id").alias("batch_id"))
     mapping = (ids.join(first_in_batch, "content_hash")
@@ -140,6 +147,6 @@ def file_lookup(catalog: DataFrame, ids: DataFrame, contents: DataFrame | None =
         contents = catalog.select("location", "text")
     looked = (ids.select(id_col).join(meta, id_col, "left")
               .join(contents.select("location", "text"), "location", "left"))
-    error = (F.when(F.col("name").isNull(), F.concat(F.lit("file not found with id "), F.col(id_col).cast("string")))
-             .when(F.col("text").isNull(), F.lit("failed to get file content")))
+    error = (F.when(F.col("name").isNull(), F.concat(F.lit("unknown file id "), F.col(id_col).cast("string")))
+             .when(F.col("text").isNull(), F.lit("content is missing")))
     return looked.select(id_col, "name", "text", error.isNull().alias("found"), error.alias("error"))

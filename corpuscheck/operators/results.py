@@ -45,7 +45,7 @@ def result_lookup(results: DataFrame, ids: DataFrame, id_col: str = "file_id") -
         id_col, *RESULT_COLS[1:-1],
         F.when(found, F.coalesce(F.col("word_cloud_location"), F.lit(""))).alias("word_cloud_location"),
         found.alias("found"),
-        F.when(~found, F.concat(F.lit("analysis result not found for file ID "),
+        F.when(~found, F.concat(F.lit("no stored result for file "),
                                 F.col(id_col).cast("string"))).alias("error"),
     )
 

@@ -12,22 +12,26 @@ Plan (no cross join, no all-pairs enumeration of a group):
    smallest id). Pairs inside such a group are similar by definition and come
    from an equi-join on the hash (the pairs *are* the answer there).
 3. Representatives go through a prefix-filtered equi-join (AllPairs/PPJoin,
-   public papers): grams are ordered globally by document frequency, each set
-   keeps its first ``n - ceil(t*n) + 1`` grams, and two sets with
-   Jaccard >= t must share one of them. Candidate generation runs on 64-bit
-   gram hashes (small rows, long sort keys); a document whose own grams
-   collide keeps its whole set as prefix, so no true pair is lost. Frequent grams sort last, so a gram
-   shared by a large share of the corpus stays out of the join unless the
-   documents holding it are near-copies (which are then true answers). Sizes
-   that cannot reach ``t`` are cut by ``min(n) >= t * max(n)`` on the join.
-4. Candidates are verified exactly on the full gram-string sets; the
-   candidate list is broadcast behind a row-count check, so the gram sets are
-   streamed rather than shuffled.
+   public papers): grams are ordered globally by document frequency. Of two
+   sets with Jaccard >= t, the larger one's first ``n - ceil(t n) + 1`` grams
+   (its probe prefix) and the smaller one's first ``n - ceil(2t/(1+t) n) + 1``
+   (its index prefix) share one, and at their first common gram at least
+   ``ceil(t/(1+t) (na + nb))`` grams of either set are still to come. The
+   positions and sizes travel with the prefix rows, and the join keeps only
+   rows that allow this. So a line that many otherwise different documents
+   hold, which sorts last by frequency, is outside their index prefixes unless
+   it is about half of such a document. Candidate generation runs on 64-bit
+   gram hashes; a document whose own grams collide keeps its whole set and is
+   exempt from the position tests, so no true pair is lost.
+4. Candidates are verified exactly on the full gram-string sets. They are
+   written first, so that Spark's byte thresholds decide from their size
+   whether the gram sets are streamed past them or shuffled.
 5. Representative pairs are expanded back to the members of both groups.
 
 ``cross_similar`` (probes against a corpus: incremental batches, stream,
 benchmark checks) ranks only the probe side and joins its prefix tokens with
-the corpus documents' full token lists, so the corpus is never re-ranked.
+the corpus documents' full token lists, so the corpus is never re-ranked. The
+position test of the probe side alone cuts pairs that only share a common line.
 
 Document frequencies come from a partially aggregated ``groupBy``; joining
 them back is an equi-join with one row per key on one side, which AQE can
@@ -79,11 +83,14 @@ def gram_sets(docs: DataFrame, n: int = T.DEFAULT_NGRAM_SIZE,
 def ngram_frequency(docs: DataFrame, n: int = T.DEFAULT_NGRAM_SIZE,
                     stop_words: Iterable[str] = T.DEFAULT_STOP_WORDS,
                     id_col: str = "file_id", text_col: str = "text") -> DataFrame:
-    """``(id_col, ngram, freq)``: n-grams of the normalised text, counted per
-    document (explode + partially aggregated ``groupBy``)."""
+    """``(id_col, ngram, freq)``: n-grams of the normalised text, counted
+    inside each document's row."""
     words = docs.select(F.col(id_col), T.significant_words(text_col, stop_words).alias("words"))
-    grams = words.select(F.col(id_col), F.explode(T.ngrams("words", n)).alias("ngram"))
-    return grams.groupBy(id_col, "ngram").agg(F.count(F.lit(1)).cast("int").alias("freq"))
+    grams = words.select(F.col(id_col), T.ngrams("words", n).alias("grams"))
+    # an outer explode: see ``stats.word_frequencies``
+    counted = (T.counted(grams, "grams", id_col).select(id_col, F.explode_outer("counted").alias("c"))
+               .filter(F.col("c").isNotNull()))
+    return counted.select(id_col, F.col("c.item").alias("ngram"), F.col("c.value").alias("freq"))
 
 
 # --------------------------------------------------------------------------
@@ -102,18 +109,6 @@ def pair_jaccard(pairs: DataFrame, gs: DataFrame, left: str = "a", right: str =
             .drop("_ga", "_gb", "_na", "_nb", "_inter"))
 
 
-# Largest row count of a frame that may be broadcast (candidates, probe side). Prefix rows
-# are (bigint, int, bigint): 2M rows stay well under 100 MB on executors.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def _bounded_broadcast(df: DataFrame, name: str, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Write ``df`` once, count it, and mark it for broadcast only when the
-    count is within ``max_rows``; beyond that the ordinary shuffle join runs."""
-    m = materialize(df, name)
-    return F.broadcast(m) if m.count() <= max_rows else m
-
-
 def _tokens(gs: DataFrame) -> DataFrame:
     """``(id, n_grams, n_tok, h)``: one row per distinct gram hash."""
     return (gs.filter(F.col("n_grams") > 0)
@@ -130,8 +125,9 @@ def _doc_freq(tok: DataFrame) -> DataFrame:
     return tok.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") > 1)
 
 
-def _prefix_tokens(tok: DataFrame, dfs: DataFrame, t: float, rep_ids: DataFrame) -> DataFrame:
-    """Keep each representative's first tokens in the global (df, hash) order.
+def _prefix_tokens(tok: DataFrame, dfs: DataFrame, t: float) -> DataFrame:
+    """Each set's probe prefix in the global (df, hash) order, with positions:
+    ``(id, n_grams, h, pos, whole)``.
 
     Tokens held by one document only sort first and can never meet another
     set, so they are dropped by the join with ``dfs`` (df > 1) before the
@@ -141,16 +137,22 @@ def _prefix_tokens(tok: DataFrame, dfs: DataFrame, t: float, rep_ids: DataFrame)
 
     The prefix is exact for the gram strings as long as a document's grams
     hash to distinct values; a document where two grams share a hash
-    (``n_tok < n_grams``) keeps all its tokens, which keeps the guarantee.
+    (``n_tok < n_grams``) keeps all its tokens (``whole``).
     """
     ranked = tok.join(dfs, "h")
     ordered = Window.partitionBy("id").orderBy("df", "h")
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    pre = (ranked.withColumn("_r", F.row_number().over(ordered))
-           .withColumn("_m", F.count(F.lit(1)).over(whole))
-           .filter((F.col("n_tok") < F.col("n_grams"))
-                   | (F.col("n_tok") - F.col("_m") + F.col("_r") <= _prefix_length(t))))
-    return pre.join(rep_ids, "id", "left_semi").select("id", "n_grams", "h")
+    span = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = (ranked.withColumn("_r", F.row_number().over(ordered))
+              .withColumn("_m", F.count(F.lit(1)).over(span))
+              .withColumn("pos", F.col("n_tok") - F.col("_m") + F.col("_r"))
+              .withColumn("whole", F.col("n_tok") < F.col("n_grams")))
+    return (placed.filter(F.col("whole") | (F.col("pos") <= _prefix_length(t)))
+            .select("id", "n_grams", "h", "pos", "whole"))
+
+
+def _least_overlap(na: str, nb: str, t: float):
+    """Grams that two sets of these sizes must share: ``ceil(t/(1+t) (na+nb))``."""
+    return F.ceil((F.col(na) + F.col(nb)) * F.lit(t / (1 + t)) - F.lit(EPS))
 
 
 def _size_bound(na: str, nb: str, t: float):
@@ -161,9 +163,9 @@ def _verify(cand: DataFrame, gs_a: DataFrame, gs_b: DataFrame, t: float,
             drop_equal_hash: bool) -> DataFrame:
     """Exact Jaccard of candidate pairs on their gram-string sets.
 
-    Each side of the gram-set table meets the candidates separately; when
-    ``cand`` is a (size-checked) broadcast, both are streaming passes over
-    the gram sets and only candidate-sized rows reach the final shuffle."""
+    Each side of the gram-set table meets the candidates separately; while
+    ``cand`` is small enough for Spark to broadcast, both are streaming passes
+    over the gram sets and only candidate-sized rows reach the final shuffle."""
     a = (gs_a.select(F.col("id").alias("a"), F.col("grams").alias("ga"),
                      F.col("n_grams").alias("na"), F.col("norm_hash").alias("ha"))
          .join(cand, "a"))
@@ -213,21 +215,26 @@ def exact_duplicates(gs: DataFrame) -> DataFrame:
 
 def candidate_pairs(gs: DataFrame, threshold: float, rep_ids: DataFrame | None = None,
                     persist: bool = True) -> DataFrame:
-    """Distinct ``(a, b)``, ``a < b``, among representatives sharing a prefix
-    token and passing the size bound: a superset of the Jaccard matches."""
+    """Distinct ``(a, b)``, ``a < b``, among representatives whose prefixes
+    meet under the size and position bounds: a superset of the Jaccard matches."""
     t = float(threshold)
     if rep_ids is None:
         rep_ids = _groups(gs)[1]
-    tok = _tokens(gs)
-    pre = _prefix_tokens(tok, _doc_freq(tok), t, rep_ids)
+    tok = _tokens(gs.join(rep_ids, "id", "left_semi"))
+    pre = _prefix_tokens(tok, _doc_freq(tok), t)
     if persist:
         # both sides of the self-join read the prefix rows: write them once
         pre = materialize(pre, "prefix_tokens")
-    pa = pre.select(F.col("id").alias("a"), F.col("n_grams").alias("na"), "h")
-    pb = pre.select(F.col("id").alias("b"), F.col("n_grams").alias("nb"), "h")
-    return (pa.join(pb, "h")
-            .filter((F.col("a") < F.col("b")) & _size_bound("na", "nb", t))
-            .select("a", "b").distinct())
+    n = F.col("n_grams")
+    index_length = n - F.ceil(n * F.lit(2 * t / (1 + t)) - F.lit(EPS)) + 1
+    small = (pre.filter(F.col("whole") | (F.col("pos") <= index_length))
+             .select(F.col("id").alias("a"), F.col("n_grams").alias("na"), "h", F.col("pos").alias("pa"), F.col("whole").alias("wa")))
+    large = pre.select(F.col("id").alias("b"), F.col("n_grams").alias("nb"), "h", F.col("pos").alias("pb"), F.col("whole").alias("wb"))
+    ordered = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+    room = 1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= _least_overlap("na", "nb", t)
+    return (small.join(large, "h")
+            .filter(ordered & _size_bound("na", "nb", t) & (F.col("wa") | F.col("wb") | room))
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
 def similar_pairs(gs: DataFrame, threshold: float = T.DEFAULT_THRESHOLD) -> DataFrame:
@@ -237,7 +244,7 @@ def similar_pairs(gs: DataFrame, threshold: float = T.DEFAULT_THRESHOLD) -> Data
     exact = exact_duplicates(gs).withColumn("exact", F.lit(True))
 
     member_rep, rep_ids = _groups(gs)
-    cand = _bounded_broadcast(candidate_pairs(gs, t, rep_ids), "candidates")
+    cand = materialize(candidate_pairs(gs, t, rep_ids), "candidates")
     near_reps = _verify(cand, gs, gs, t, drop_equal_hash=False)
     near = (_expand(near_reps, member_rep, member_rep)
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
@@ -246,13 +253,15 @@ def similar_pairs(gs: DataFrame, threshold: float = T.DEFAULT_THRESHOLD) -> Data
 
 
 def _ranked_prefix(tok: DataFrame, dfs: DataFrame, t: float) -> DataFrame:
-    """Prefix of every probe set in the global (df, hash) order; tokens absent
-    from ``dfs`` rank first (df 0). Same collision fallback as the self-join."""
+    """Prefix of every probe set in the global (df, hash) order, with
+    positions; tokens absent from ``dfs`` rank first (df 0). Same collision
+    fallback as the self-join."""
     ranked = tok.join(dfs, "h", "left").withColumn("df", F.coalesce("df", F.lit(0)))
     w = Window.partitionBy("id").orderBy("df", "h")
-    return (ranked.withColumn("_r", F.row_number().over(w))
-            .filter((F.col("n_tok") < F.col("n_grams")) | (F.col("_r") <= _prefix_length(t)))
-            .select("id", "n_grams", "h"))
+    return (ranked.withColumn("pos", F.row_number().over(w))
+            .withColumn("whole", F.col("n_tok") < F.col("n_grams"))
+            .filter(F.col("whole") | (F.col("pos") <= _prefix_length(t)))
+            .select("id", "n_grams", "h", "pos", "whole"))
 
 
 def cross_similar(probes_gs: DataFrame, corpus_gs: DataFrame,
@@ -266,29 +275,28 @@ def cross_similar(probes_gs: DataFrame, corpus_gs: DataFrame,
     prefix holds a token of s under any global order, so the corpus is never
     ranked, windowed or collapsed per batch. Document frequencies are counted
     for the probes' tokens only. Probe-side frames (tokens, prefix,
-    candidates) are broadcast behind a row-count check, so a batch streams
-    over the corpus without shuffling it; past the bound the joins shuffle.
+    candidates) are written, so that Spark's byte thresholds choose between
+    streaming over the corpus and shuffling it.
     ``exclude_self`` skips a probe meeting its own id.
     """
     T.check_threshold(threshold)
     t = float(threshold)
     pm = probes_gs.select(F.col("id").alias("probe"), "norm_hash", F.col("n_grams").alias("_n"))
     cm = corpus_gs.select(F.col("id").alias("doc"), "norm_hash")
-    exact = (cm.join(_bounded_broadcast(pm, "probe_hashes"), "norm_hash")
+    exact = (cm.join(pm, "norm_hash")
              .select("probe", "doc", F.lit(True).alias("exact"), _exact_flag_jaccard("_n").alias("jaccard")))
 
     p_tok = materialize(_tokens(probes_gs), "probe_tokens")
     c_tok = _tokens(corpus_gs).select(F.col("id").alias("b"), F.col("n_grams").alias("nb"), "h")
-    probe_h = _bounded_broadcast(p_tok.select("h").distinct(), "probe_token_set")
-    dfs = (c_tok.select("h").join(probe_h, "h", "left_semi")
+    dfs = (c_tok.select("h").join(p_tok.select("h").distinct(), "h", "left_semi")
            .groupBy("h").agg(F.count(F.lit(1)).alias("df")))
-    p_pre = _bounded_broadcast(
-        _ranked_prefix(p_tok, dfs, t).select(F.col("id").alias("a"), F.col("n_grams").alias("na"), "h"),
-        "probe_prefix")
-    cand = c_tok.join(p_pre, "h").filter(_size_bound("na", "nb", t))
+    p_pre = materialize(_ranked_prefix(p_tok, dfs, t).select(
+        F.col("id").alias("a"), F.col("n_grams").alias("na"), "h", "pos", "whole"), "probe_prefix")
+    room = F.col("whole") | (1 + F.col("na") - F.col("pos") >= _least_overlap("na", "nb", t))
+    cand = c_tok.join(p_pre, "h").filter(_size_bound("na", "nb", t) & room)
     if exclude_self:
         cand = cand.filter(F.col("a") != F.col("b"))
-    cand = _bounded_broadcast(cand.select("a", "b").distinct(), "candidates")
+    cand = materialize(cand.select("a", "b").distinct(), "candidates")
 
     a = probes_gs.select(F.col("id").alias("a"), F.col("grams").alias("ga"),
                          F.col("n_grams").alias("na"), F.col("norm_hash").alias("ha"))

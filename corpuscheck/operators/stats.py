@@ -1,16 +1,14 @@
 """Per-document statistics and word-frequency aggregates.
 
-Counts are per-row expressions. Frequencies explode the word list and use a
-partially aggregated ``groupBy(doc, word)``; top-k is a ``row_number``
-window partitioned by document, so each window group is one document's
-distinct words.
+Counts are per-row expressions, word frequencies too: a document's sorted word
+list is cut into runs of equal words inside its row, so nothing is shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuscheck.functions import text as T
@@ -51,15 +49,20 @@ def unique_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return w.select(F.col(id_col), T.unique_word_count("w").alias("unique_words"))
 
 
-def word_frequencies(docs: DataFrame, k: int = 50, id_col: str = "doc_id",
+def word_frequencies(docs: DataFrame, k: int | None = None, id_col: str = "doc_id",
                      text_col: str = "text",
                      stop_words: Iterable[str] = T.DEFAULT_STOP_WORDS) -> DataFrame:
-    """Word-cloud data: top ``k`` significant words per document as rows
-    ``(id, rank, text, value)``, by count descending then word ascending."""
-    if k < 1:
+    """Word-cloud data: significant words per document as rows ``(id, rank,
+    text, value)``, by count descending then word ascending; all of them, or
+    the top ``k``."""
+    if k is not None and k < 1:
         raise ValueError("k must be positive")
-    words = docs.select(F.col(id_col), F.explode(T.significant_words(text_col, stop_words)).alias("text"))
-    counts = words.groupBy(id_col, "text").agg(F.count(F.lit(1)).cast("int").alias("value"))
-    w = Window.partitionBy(id_col).orderBy(F.col("value").desc(), F.col("text").asc())
-    ranked = counts.withColumn("rank", F.row_number().over(w))
-    return ranked.filter(F.col("rank") <= k).select(id_col, "rank", "text", "value")
+    words = docs.select(F.col(id_col), T.significant_words(text_col, stop_words).alias("w"))
+    counted = T.counted(words, "w", id_col)
+    ranked = F.array_sort(F.transform("counted", lambda c: F.struct((-c["value"]).alias("less"), c["item"].alias("text"))))
+    if k is not None:
+        ranked = F.slice(ranked, 1, k)
+    # an outer explode: the filter that Spark infers for an inner one would
+    # repeat the counting inside its own lambda
+    rows = counted.select(F.col(id_col), F.posexplode_outer(ranked).alias("pos", "r")).filter(F.col("pos").isNotNull())
+    return rows.select(id_col, (F.col("pos") + 1).alias("rank"), "r.text", (-F.col("r.less")).alias("value"))

@@ -9,6 +9,7 @@ pair), which DuckDB runs fast at the oracle's scale.
 from __future__ import annotations
 
 from corpuscheck.functions.text import DEFAULT_STOP_WORDS
+from corpuscheck.plans.registry import MISSING_BYTES, STORED_WORDS
 
 # RE2 spelling of the White_Space class used by the Spark side.
 _WS = r"\t\n\x{0B}\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -102,15 +103,15 @@ MIXED = ("mixed AS (SELECT 'documents' AS origin, doc_id AS upload_id, "
          "UNION ALL SELECT 'pages' AS origin, page_id AS upload_id, printf('page-%d.html', page_id) AS name, "
          "html AS text FROM pages)")
 
-MIDPOINT = "(SELECT (min(doc_id) + max(doc_id)) / 2 FROM documents)"
+MIDPOINT = "(SELECT (min(doc_id) + max(doc_id)) // 2 FROM documents)"
 
 ORACLE_SQL: dict[str, str] = {
     "ingest_text": _with(MIXED) + (
         f"SELECT origin, upload_id, name, {_bytes('text')} AS n_bytes FROM mixed "
         "WHERE text IS NOT NULL AND name LIKE '%.txt'"),
     "rejected_uploads": _with(MIXED) + (
-        "SELECT origin, upload_id, name, CASE WHEN text IS NULL THEN 'no file provided' "
-        "ELSE 'only .txt files are allowed' END AS reason FROM mixed "
+        "SELECT origin, upload_id, name, CASE WHEN text IS NULL THEN 'no content' "
+        "ELSE 'name does not end in .txt' END AS reason FROM mixed "
         "WHERE text IS NULL OR name IS NULL OR name NOT LIKE '%.txt'"),
     "content_fingerprint": _with(UPLOADS) + "SELECT upload_id, name, content_hash FROM up",
     "upload_mapping": _with(UPLOADS) + (
@@ -131,7 +132,7 @@ ORACLE_SQL: dict[str, str] = {
         ") p LEFT JOIN cat c ON c.content_hash = p.content_hash"),
     "file_lookup": _with(UPLOADS, CATALOG) + (
         "SELECT l.doc_id AS file_id, c.name, c.text, c.file_id IS NOT NULL AS found, "
-        "CASE WHEN c.file_id IS NULL THEN 'file not found with id ' || CAST(l.doc_id AS VARCHAR) END AS error "
+        "CASE WHEN c.file_id IS NULL THEN 'unknown file id ' || CAST(l.doc_id AS VARCHAR) END AS error "
         "FROM labels l LEFT JOIN cat c ON c.file_id = l.doc_id"),
     "paragraph_count": f"SELECT doc_id, {_paragraphs('text')} AS paragraph_count FROM documents",
     "word_count": f"SELECT doc_id, {_words('text')} AS word_count FROM documents",
@@ -161,12 +162,15 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT doc_id, unnest({_sig('text')}) AS word FROM documents) GROUP BY ALL), "
         f"r AS (SELECT doc_id, word, value, row_number() OVER (PARTITION BY doc_id ORDER BY value DESC, word ASC) "
         f"AS rank FROM c) SELECT doc_id, CAST(rank AS INTEGER) AS rank, word AS text, "
-        f"CAST(value AS INTEGER) AS value FROM r WHERE rank <= 10"),
+        f"CAST(value AS INTEGER) AS value FROM r"),
     "unique_words": f"SELECT doc_id, CAST(len(list_distinct({_sig('text')})) AS INTEGER) AS unique_words FROM documents",
     "normalized_hash": _with(UPLOADS, CATALOG, _gram_ctes("cat", "file_id", "", 3)) + (
         "SELECT id AS file_id, norm_hash FROM g"),
-    "exact_duplicates": _with(UPLOADS, CATALOG, _gram_ctes("cat", "file_id", "", 3)) + (
-        "SELECT x.id AS file_id_a, y.id AS file_id_b FROM gn x JOIN gn y "
+    "exact_duplicates": (
+        "WITH both_editions AS (SELECT doc_id * 2 AS id, text FROM documents UNION ALL "
+        "SELECT doc_id * 2 + 1 AS id, '(' || translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') "
+        f"|| ')!' AS text FROM documents), h AS MATERIALIZED (SELECT id, sha256(array_to_string({_sig('text')}, ' ')) AS norm_hash "
+        "FROM both_editions) SELECT x.id AS file_id_a, y.id AS file_id_b FROM h x JOIN h y "
         "ON x.norm_hash = y.norm_hash AND x.id < y.id"),
     "pair_jaccard": _with(UPLOADS, CATALOG, _gram_ctes("cat", "file_id", "", 3)) + (
         "SELECT x.id AS file_id_a, y.id AS file_id_b, "
@@ -195,24 +199,33 @@ ORACLE_SQL: dict[str, str] = {
         "coalesce(string_agg(CAST(pe.doc AS VARCHAR), ',' ORDER BY pe.doc), '') AS similar_file_ids "
         "FROM benchmark b LEFT JOIN pe ON pe.probe = b.item_id GROUP BY b.item_id"),
     "upsert_results": _with(*REPORT_CTES, REPORT_ROWS) + (
-        "SELECT file_id, paragraph_count, word_count, character_count, is_plagiarism, word_cloud_location "
-        "FROM report"),
+        f"SELECT file_id, paragraph_count, CASE WHEN file_id >= {MIDPOINT} THEN word_count "
+        f"ELSE word_count + {STORED_WORDS} END AS word_count, character_count, "
+        f"CASE WHEN file_id >= {MIDPOINT} THEN is_plagiarism ELSE NOT is_plagiarism END AS is_plagiarism, "
+        "word_cloud_location FROM report"),
     "insert_ignore_similar": _with(UPLOADS, CATALOG, _gram_ctes("cat", "file_id", "", 3), _self_pairs("", 0.3)) + (
-        "SELECT b AS file_id, a AS similar_file_id FROM pairs"),
+        "SELECT b AS file_id, a AS similar_file_id FROM pairs UNION ALL SELECT a, b FROM pairs"),
     "result_lookup": _with(*REPORT_CTES, REPORT_ROWS) + (
         "SELECT d.doc_id AS file_id, r.paragraph_count, r.word_count, r.character_count, r.is_plagiarism, "
         "r.word_cloud_location, r.file_id IS NOT NULL AS found, "
-        "CASE WHEN r.file_id IS NULL THEN 'analysis result not found for file ID ' || CAST(d.doc_id AS VARCHAR) "
+        "CASE WHEN r.file_id IS NULL THEN 'no stored result for file ' || CAST(d.doc_id AS VARCHAR) "
         "END AS error FROM documents d LEFT JOIN report r ON r.file_id = d.doc_id"),
     "similar_lookup": _with(*REPORT_CTES) + (
         "SELECT c.file_id, coalesce(l.ids, '') AS similar_file_ids FROM cat c LEFT JOIN lists l USING (file_id)"),
     "analyzed_ids": _with(UPLOADS, CATALOG) + "SELECT file_id FROM cat",
     "document_report": REPORT_SQL,
-    "incremental_report": REPORT_SQL,
+    "incremental_report": _with(*REPORT_CTES, REPORT_ROWS) + (
+        f"SELECT * REPLACE (CASE WHEN file_id < {MIDPOINT} THEN word_count + {STORED_WORDS} ELSE word_count END AS word_count) "
+        "FROM report"),
     "stream_report": REPORT_SQL,
-    "missing_content_tolerant": _with(*REPORT_CTES, REPORT_ROWS) + (
+    "missing_content_tolerant": _with(
+        UPLOADS, CATALOG.replace("cat AS MATERIALIZED", "every_file AS MATERIALIZED"),
+        f"cat AS MATERIALIZED (SELECT * FROM every_file WHERE n_bytes % {MISSING_BYTES} <> 0)",
+        *REPORT_CTES[2:], REPORT_ROWS) + (
         "SELECT q.file_id, CASE WHEN r.file_id IS NULL THEN 'error' ELSE 'ok' END AS status, "
-        "CASE WHEN r.file_id IS NULL THEN 'file not found with id ' || CAST(q.file_id AS VARCHAR) END AS error, "
+        "CASE WHEN e.file_id IS NULL THEN 'unknown file id ' || CAST(q.file_id AS VARCHAR) "
+        "WHEN r.file_id IS NULL THEN 'content is missing' END AS error, "
         "r.paragraph_count, r.word_count, r.character_count, r.is_plagiarism, r.similar_file_ids "
-        "FROM (SELECT DISTINCT doc_id AS file_id FROM labels) q LEFT JOIN report r ON r.file_id = q.file_id"),
+        "FROM (SELECT DISTINCT doc_id AS file_id FROM labels) q LEFT JOIN every_file e ON e.file_id = q.file_id "
+        "LEFT JOIN report r ON r.file_id = q.file_id"),
 }

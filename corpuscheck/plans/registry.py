@@ -26,7 +26,10 @@ from corpuscheck.operators.verdict import plagiarism_verdict
 from corpuscheck.plans import report as RP
 from corpuscheck.sources import tables as TB
 
-WORD_CLOUD_K = 10
+# What the stored rows of the read-through queries differ by.
+STORED_WORDS = 1000
+# Contents whose byte count is a multiple of this are missing for ``missing_content_tolerant``.
+MISSING_BYTES = 4
 
 
 def _ids_text(c: str):
@@ -38,17 +41,20 @@ def _docs(spark, sf):
 
 
 def _prepared(spark, sf):
-    return I.prepare_uploads(TB.document_uploads(spark, sf))
+    """Uploads that pass the gate: documents as ``.txt`` files (pages, ``.html``,
+    are refused there)."""
+    accepted, _ = I.validate_uploads(TB.document_uploads(spark, sf))
+    return I.prepare_uploads(accepted)
 
 
-def _catalog(spark, sf):
-    return I.file_catalog(_prepared(spark, sf))
+def _catalog(spark, sf, with_text=True):
+    return I.file_catalog(_prepared(spark, sf), with_text)
 
 
 def _midpoint_id(spark, sf):
     """Midpoint of the arrival-id range (two bounded aggregates, a scalar
     subquery; an exact median would buffer every id in one task)."""
-    return _docs(spark, sf).select((F.min("doc_id") + F.max("doc_id")) / 2).scalar()
+    return _docs(spark, sf).select(F.expr("(min(doc_id) + max(doc_id)) div 2")).scalar()
 
 
 def _split_catalog(spark, sf):
@@ -87,15 +93,15 @@ def q_upload_mapping(spark, sf):
 
 
 def q_file_catalog(spark, sf):
-    return _catalog(spark, sf).select("file_id", "name", "content_hash", "location", "n_bytes")
+    return _catalog(spark, sf, with_text=False).select("file_id", "name", "content_hash", "location", "n_bytes")
 
 
 def q_incremental_ingest(spark, sf):
     prepared = _prepared(spark, sf)
     midpoint = _midpoint_id(spark, sf)
-    stored = I.file_catalog(prepared.filter(F.col("upload_id") < midpoint))
+    stored = I.file_catalog(prepared.filter(F.col("upload_id") < midpoint), with_text=False)
     batch = prepared.filter(F.col("upload_id") >= midpoint)
-    new_files, mapping = I.incremental_ingest(stored, batch)
+    new_files, mapping = I.incremental_ingest(stored, batch, with_text=False)
     new_ids = new_files.select("file_id", F.lit(True).alias("new_file"))
     return (mapping.join(new_ids, "file_id", "left")
             .select("upload_id", "file_id", "already_stored",
@@ -109,7 +115,7 @@ def q_hash_lookup(spark, sf):
     docs = _docs(spark, sf).select(
         F.lit("documents").alias("kind"), F.col("doc_id").alias("probe_id"),
         T.sha256_hex("text").alias("content_hash"))
-    found = I.hash_lookup(_catalog(spark, sf), bench.unionByName(docs))
+    found = I.hash_lookup(_catalog(spark, sf, with_text=False), bench.unionByName(docs))
     return found.select("kind", "probe_id", "content_hash", "file_id")
 
 
@@ -171,7 +177,7 @@ def q_ngram_frequency(spark, sf):
 
 
 def q_word_frequencies(spark, sf):
-    return ST.word_frequencies(_docs(spark, sf), k=WORD_CLOUD_K)
+    return ST.word_frequencies(_docs(spark, sf))
 
 
 def q_unique_words(spark, sf):
@@ -185,12 +191,20 @@ def _gram_sets(spark, sf, n=3):
 
 
 def q_normalized_hash(spark, sf):
-    return _gram_sets(spark, sf).select(F.col("id").alias("file_id"), "norm_hash")
+    w = _catalog(spark, sf).select("file_id", T.significant_words("text").alias("w"))
+    return w.select("file_id", T.sha256_hex(T.normalized_text("w")).alias("norm_hash"))
 
 
 def q_exact_duplicates(spark, sf):
-    return S.exact_duplicates(_gram_sets(spark, sf)).select(
-        F.col("a").alias("file_id_a"), F.col("b").alias("file_id_b"))
+    """Over raw documents, which hold byte copies, and a second edition of each
+    in other case and with other punctuation (odd ids)."""
+    docs = _docs(spark, sf)
+    first = docs.select((F.col("doc_id") * 2).alias("id"), "text")
+    shouted = F.translate("text", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    second = docs.select((F.col("doc_id") * 2 + 1).alias("id"), F.concat(F.lit("("), shouted, F.lit(")!")).alias("text"))
+    w = first.unionByName(second).select("id", T.significant_words("text").alias("words"))
+    hashed = w.select("id", T.sha256_hex(T.normalized_text("words")).alias("norm_hash"), F.size("words").alias("n_grams"))
+    return S.exact_duplicates(hashed).select(F.col("a").alias("file_id_a"), F.col("b").alias("file_id_b"))
 
 
 def q_pair_jaccard(spark, sf):
@@ -238,22 +252,22 @@ def q_tunable_similarity(spark, sf):
 
 # --- 2.5 result tables and report -------------------------------------------
 
-def _history_and_full(spark, sf):
-    history, full = _split_catalog(spark, sf)
-    h_rep, h_edges = RP.report_with_edges(history)
-    f_rep, f_edges = RP.report_with_edges(full)
-    return h_rep, h_edges, f_rep, f_edges
-
-
 def q_upsert_results(spark, sf):
-    h_rep, _, f_rep, _ = _history_and_full(spark, sf)
-    out = R.upsert_results(h_rep, f_rep, stamp=False)
-    return out.select(*R.RESULT_COLS)
+    """Base: a stored row for every file, with other counts; new: the files from
+    the midpoint on. Only those are replaced."""
+    report = _full_report(spark, sf)
+    base = report.withColumn("word_count", F.col("word_count") + STORED_WORDS).withColumn("is_plagiarism", ~F.col("is_plagiarism"))
+    new = report.filter(F.col("file_id") >= _midpoint_id(spark, sf))
+    return R.upsert_results(base, new, stamp=False).select(*R.RESULT_COLS)
 
 
 def q_insert_ignore_similar(spark, sf):
-    _, h_edges, _, f_edges = _history_and_full(spark, sf)
-    return R.insert_ignore_similar(h_edges, f_edges)
+    """Base: the edges up to the midpoint, and all edges the other way round;
+    new: every edge."""
+    edges = RP.report_edges(_catalog(spark, sf))
+    back = edges.select(F.col("similar_file_id").alias("file_id"), F.col("file_id").alias("similar_file_id"))
+    base = edges.filter(F.col("file_id") < _midpoint_id(spark, sf)).unionByName(back)
+    return R.insert_ignore_similar(base, edges)
 
 
 def _full_report(spark, sf):
@@ -273,7 +287,8 @@ def q_similar_lookup(spark, sf):
 
 
 def q_analyzed_ids(spark, sf):
-    return R.analyzed_ids(_full_report(spark, sf))
+    # a report has a row for each catalogued file, so its ids need no report
+    return R.analyzed_ids(_catalog(spark, sf, with_text=False))
 
 
 def q_document_report(spark, sf):
@@ -284,6 +299,8 @@ def q_incremental_report(spark, sf):
     history, full = _split_catalog(spark, sf)
     h_a = RP.analyse(history)
     stored, stored_edges = RP.report_with_edges(history, analysed=h_a)
+    # stored rows that a recompute would not give must come back as they are
+    stored = stored.withColumn("word_count", F.col("word_count") + STORED_WORDS)
     stored_grams = h_a.select("id", "norm_hash", "grams", "n_grams", "tokens")
     results, _ = RP.incremental_report(stored, stored_edges, full, stored_grams=stored_grams)
     return _report_view(results)
@@ -291,7 +308,9 @@ def q_incremental_report(spark, sf):
 
 def q_missing_content_tolerant(spark, sf):
     requests = TB.read_table(spark, sf, "labels").select(F.col("doc_id").alias("file_id"))
-    out = RP.analyze_requests(_catalog(spark, sf), requests)
+    catalog = _catalog(spark, sf)
+    contents = catalog.filter(F.col("n_bytes") % MISSING_BYTES != 0).select("location", "text")
+    out = RP.analyze_requests(catalog, requests, contents)
     return out.select("file_id", "status", "error", *RP.REPORT_COLS[1:5],
                       _ids_text("similar_file_ids").alias("similar_file_ids"))
 

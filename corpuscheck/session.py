@@ -2,13 +2,15 @@
 and writing intermediate tables there so lineage is cut on a written copy.
 
 On a cluster the folder comes from ``spark.checkpoint.dir`` (or an earlier
-``SparkContext.setCheckpointDir``); a private folder is created only when the
-session has none, which is the local/test case.
+``SparkContext.setCheckpointDir``). A private folder is created only for a
+``local`` master whose session names none; on any other master that is an
+error, since executors wouldn't share it.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -31,12 +33,11 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         # partitions apart instead of merging them up to 1 MB.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Broadcast only what AQE has measured at run time; static size
-        # estimates of exploded/filtered inputs are not a proven bound.
-        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        # Byte thresholds: of written tables, and of what AQE has measured.
+        .config("spark.sql.autoBroadcastJoinThreshold", "10MB")
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for k, v in (extra or {}).items():
@@ -48,8 +49,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's shared checkpoint folder, creating a private one
-    only when the session names none (local runs and tests)."""
+    """Return the session's shared checkpoint folder; a private one is created
+    only for a ``local`` master whose session names none."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - sessions without a JVM context (Spark Connect)
@@ -63,6 +64,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = None
     conf_dir = conf_dir or spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="corpuscheck-ckpt-")
         if sc is None:
             spark.conf.set("spark.checkpoint.dir", conf_dir)

@@ -45,9 +45,11 @@ def read_upload_files(spark: SparkSession, path: str, recursive: bool = True,
 def with_arrival_ids(uploads: DataFrame) -> DataFrame:
     """Give uploads increasing ids in arrival order (modification time, path).
 
-    ``orderBy`` is a range-partitioned distributed sort; the id generated right
-    after it grows with partition index and row position, so it is unique and
-    ordered without funnelling rows through one task. Ids are not dense.
+    Only ``(path, modified)`` goes through the distributed sort; the id
+    generated right after it grows with partition index and row position, so
+    it is unique and ordered without funnelling rows through one task. Ids are
+    not dense. The contents meet their ids by path.
     """
-    return (uploads.orderBy("modified", "path")
-            .withColumn("upload_id", F.monotonically_increasing_id()))
+    ids = (uploads.select("path", "modified").orderBy("modified", "path")
+           .select("path", F.monotonically_increasing_id().alias("upload_id")))
+    return uploads.join(ids, "path")

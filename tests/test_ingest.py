@@ -63,8 +63,8 @@ def test_file_lookup_missing_row_and_missing_content(spark):
     ids = spark.createDataFrame([(1,), (2,), (3,)], "file_id long")
     got = {r.file_id: (r.found, r.error) for r in I.file_lookup(cat, ids, contents).collect()}
     assert got[1] == (True, None)
-    assert got[2] == (False, "failed to get file content")
-    assert got[3] == (False, "file not found with id 3")
+    assert got[2] == (False, "content is missing")
+    assert got[3] == (False, "unknown file id 3")
 
 
 def test_binary_file_source_counts_raw_bytes(spark, tmp_dir):
@@ -82,14 +82,24 @@ def test_binary_file_source_counts_raw_bytes(spark, tmp_dir):
     assert len(cat) == 2  # a.txt and d.txt share bytes
 
 
-def test_spread_only_touches_inputs_with_too_few_splits(spark):
-    from corpuscheck.sources.tables import spread
+def test_texts_stay_out_of_the_fingerprint_shuffle(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "uploads")
+    _uploads(spark, [(1, "a.txt", "x"), (2, "b.txt", "x"), (3, "c.txt", "y")]).write.parquet(path)
+    prepared = I.prepare_uploads(I.validate_uploads(spark.read.parquet(path))[0])
+    cat = I.file_catalog(prepared, with_text=False)
+    plan = cat._jdf.queryExecution().executedPlan().toString()
+    exchanged = plan[:plan.index("Exchange")]
+    assert "text" not in exchanged and "text" not in cat.columns
+    assert sorted((r.file_id, r.name) for r in cat.collect()) == [(1, "a.txt"), (3, "c.txt")]
 
-    target = spark.sparkContext.defaultParallelism
-    many = spark.range(1000).repartition(target * 2)
-    assert spread(many) is many
-    one = spark.range(1000).coalesce(1)
-    assert spread(one).rdd.getNumPartitions() == target
+
+def test_word_frequencies_all_and_top(spark):
+    from corpuscheck.operators import stats as ST
+
+    docs = spark.createDataFrame([(1, "pear Apple pear fig apple pear"), (2, "the"), (3, None)], "doc_id long, text string")
+    every = [tuple(r) for r in ST.word_frequencies(docs).collect()]
+    assert sorted(every) == [(1, 1, "pear", 3), (1, 2, "apple", 2), (1, 3, "fig", 1)]
+    assert sorted(tuple(r) for r in ST.word_frequencies(docs, k=1).collect()) == [(1, 1, "pear", 3)]
 
 
 def test_checkpoint_folder_comes_from_the_session(spark):

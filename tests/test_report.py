@@ -47,26 +47,40 @@ def test_report_verdicts_point_to_earlier_files(spark):
 def test_incremental_report_keeps_stored_rows(spark):
     cat = _catalog(spark)
     first = cat.filter(F.col("file_id") <= 3)
-    stored = RP.document_report(first)
     stored_edges = RP.report_edges(first)
-    # a stored row that later files would change stays as stored
+    # stored rows that a recompute would not give
+    stored = (RP.document_report(first).withColumn("word_count", F.lit(777))
+              .withColumn("similar_file_ids", F.array(F.lit(42).cast("long"))))
     results, edges = RP.incremental_report(stored, stored_edges, cat)
     rep = _as_dict(results)
     full = _as_dict(RP.document_report(cat))
     assert sorted(rep) == sorted(full)
     for fid in rep:
-        assert rep[fid].similar_file_ids == full[fid].similar_file_ids
+        if fid <= 3:
+            assert (rep[fid].word_count, rep[fid].similar_file_ids) == (777, [42])
+        else:
+            assert rep[fid] == full[fid]
     assert {(r.file_id, r.similar_file_id) for r in edges.collect()} == \
         {(3, 1), (5, 1), (5, 3), (7, 6)}
 
 
+def test_requests_answer_stored_results_first(spark):
+    cat = _catalog(spark)
+    stored = RP.document_report(cat.filter("file_id = 3")).withColumn("word_count", F.lit(777))
+    req = spark.createDataFrame([(3,), (5,), (5,)], "file_id long")
+    got = _as_dict(RP.analyze_requests(cat, req, stored_results=stored))
+    assert sorted(got) == [3, 5]
+    assert got[3].status == "ok" and got[3].word_count == 777 and got[3].similar_file_ids == []
+    assert got[5].similar_file_ids == [1, 3]
+
+
 def test_missing_content_is_error_for_target_and_skipped_when_compared(spark):
     cat = _catalog(spark)
     contents = cat.select("location", "text").filter(F.col("location") != "1")
     req = spark.createDataFrame([(1,), (3,), (99,)], "file_id long")
     got = _as_dict(RP.analyze_requests(cat, req, contents))
-    assert got[1].status == "error" and got[1].error == "failed to get file content"
-    assert got[99].error == "file not found with id 99"
+    assert got[1].status == "error" and got[1].error == "content is missing"
+    assert got[99].error == "unknown file id 99"
     assert got[3].status == "ok" and got[3].similar_file_ids == []   # 1 is skipped
 
 
@@ -79,7 +93,7 @@ def test_result_tables(spark):
     assert up[2].paragraph_count == 5 and up[1].word_count == 2 and up[2].created_at is not None
     look = _as_dict(R.result_lookup(base, spark.createDataFrame([(1,), (3,)], "file_id long")))
     assert look[1].word_cloud_location == "" and look[1].found
-    assert not look[3].found and look[3].error.startswith("analysis result not found")
+    assert not look[3].found and look[3].error.startswith("no stored result")
     edges = spark.createDataFrame([(2, 1)], "file_id long, similar_file_id long")
     more = spark.createDataFrame([(2, 1), (3, 1), (3, 1)], edges.schema)
     assert sorted(tuple(r) for r in R.insert_ignore_similar(edges, more).collect()) == [(2, 1), (3, 1)]
@@ -128,3 +142,71 @@ def test_stream_dedupes_content_across_batches(spark):
     cat = sorted((r.file_id, r.name) for r in ST.read_state(spark, root, "catalog").collect())
     assert cat == [(1, "a.txt"), (2, "b.txt"), (4, "c.txt")]
     assert sorted(r.file_id for r in ST.read_state(spark, root, "results").collect()) == [1, 2, 4]
+
+
+def test_stream_stores_rejects_and_mapping(spark):
+    root = os.path.join(scratch_path(spark, "stream-gate"), "state")
+    schema = "upload_id long, name string, text string"
+    b0 = spark.createDataFrame([(1, "a.txt", "one text of some words"), (2, "b.pdf", "x"), (3, "c.txt", None)], schema)
+    b1 = spark.createDataFrame([(4, "d.txt", "one text of some words"), (5, "e.txt", None), (6, "f.txt", "")], schema)
+    ST.process_batch(b0, 0, root)
+    ST.process_batch(b1, 1, root)
+    read = lambda t: sorted(tuple(r) for r in ST.read_state(spark, root, t).collect())
+    assert read("rejects") == [(2, "b.pdf", I.REASON_NOT_TXT), (3, "c.txt", I.REASON_NO_CONTENT), (5, "e.txt", I.REASON_NO_CONTENT)]
+    assert read("mapping") == [(1, 1, False), (4, 1, True), (6, 6, False)]
+    assert sorted(r.file_id for r in ST.read_state(spark, root, "results").collect()) == [1, 6]
+
+
+def test_raw_files_in_two_landings(spark, tmp_dir):
+    """.txt, other and duplicate files in two steps equal the batch report."""
+    incoming, root, ckpt = (os.path.join(tmp_dir, d) for d in ("in", "state", "ckpt"))
+    os.makedirs(incoming)
+
+    def land(name, data, at):
+        path = os.path.join(incoming, name)
+        with open(path, "wb") as f:
+            f.write(data)
+        os.utime(path, (at, at))
+
+    text = TEXTS[0][1].encode()
+    land("z.txt", text, 1000)
+    land("a.txt", text, 2000)
+    land("b.pdf", b"x", 1500)
+    ST.start_file_stream(spark, incoming, root, ckpt).awaitTermination()
+    land("c.txt", TEXTS[2][1].encode(), 900)
+    land("d.txt", text, 3000)
+    ST.start_file_stream(spark, incoming, root, ckpt).awaitTermination()
+    cat = sorted((r.file_id, r.name) for r in ST.read_state(spark, root, "catalog").collect())
+    # the earliest file of equal bytes names it, and a later landing comes later
+    assert [n for _, n in cat] == ["z.txt", "c.txt"]
+    ids = [i for i, _ in cat]
+    rep = _as_dict(ST.stored_report(spark, root))
+    batch = _as_dict(RP.document_report(_catalog(spark, [(1, TEXTS[0][1]), (3, TEXTS[2][1])])))
+    assert rep[ids[0]].word_count == batch[1].word_count and rep[ids[1]].word_count == batch[3].word_count
+    assert rep[ids[1]].similar_file_ids == [ids[0]] and rep[ids[0]].similar_file_ids == []
+    assert [r.name for r in ST.read_state(spark, root, "rejects").collect()] == ["b.pdf"]
+    assert ST.read_state(spark, root, "mapping").count() == 4
+
+
+def test_checkpoint_folder_is_private_on_local_masters_only(spark, monkeypatch):
+    import pytest
+
+    from corpuscheck import session
+
+    class Fake:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Fake()
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda k, d=None: d)
+
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())

@@ -49,16 +49,15 @@ def _spark_pairs(spark, docs, n, t):
 
 
 # ---------------------------------------------------------------- fixtures
-PROBE = "This is a test document for plagiarism detection."
+PROBE = "Grey herons nest along the lower weir each spring."
 VERDICTS = [
     (PROBE, PROBE, True),
-    (PROBE, "This is a test document for detecting plagiarism.", True),
-    (PROBE, "This is a test document for plagiarism detection with some additional words.", True),
-    (PROBE, "This document has completely different content and should not match.", False),
-    (PROBE, "This is a test document for plagiarism detection with minor edits.", True),
-    ("This is a TEST document for plagiarism detection.",
-     "This is a test DOCUMENT for PLAGIARISM detection.", True),
-    ("This is a test document, for plagiarism detection!", PROBE, True),
+    (PROBE, "Grey herons nest along the old canal.", True),
+    (PROBE, "Grey herons nest along the lower weir each spring, when floods have gone down.", True),
+    (PROBE, "Trams run every ten minutes from the market hall.", False),
+    (PROBE, "GREY herons (nest) along the LOWER weir: each spring?", True),
+    ("Oak, ash, elm; lime!", "oak ASH elm lime", True),
+    ("Oak ash elm lime", "lime elm ash oak", False),
 ]
 
 
@@ -70,8 +69,8 @@ def test_verdict_table_at_t02_n2(spark, probe, other, similar):
 
 def test_check_against_corpus_flags_only_the_close_one(spark):
     corpus = spark.createDataFrame([
-        (1, "This document has completely different content and should not match."),
-        (2, "This is a test document for plagiarism detection with minor edits."),
+        (1, "Trams run every ten minutes from the market hall."),
+        (2, "Grey herons nest along the lower weir each autumn."),
     ], "file_id long, text string")
     probes = spark.createDataFrame([(9, PROBE)], "probe_id long, text string")
     got = S.cross_similar(S.gram_sets(probes, 2, id_col="probe_id", persist=False),
@@ -130,9 +129,8 @@ def test_prefix_keeps_whole_set_when_own_grams_collide(spark):
          (2, 3, 3, 11), (2, 3, 3, 12), (2, 3, 3, 13)],
         "id long, n_grams int, n_tok int, h long")
     dfs = spark.createDataFrame([(11, 2), (12, 2), (13, 2)], "h long, df long")
-    reps = spark.createDataFrame([(1,), (2,)], "id long")
-    got = sorted((r.id, r.h) for r in S._prefix_tokens(tok, dfs, 1.0, reps).collect())
-    assert got == [(1, 11), (1, 12), (1, 13), (2, 11)]
+    got = sorted((r.id, r.h, r.pos, r.whole) for r in S._prefix_tokens(tok, dfs, 1.0).collect())
+    assert got == [(1, 11, 1, True), (1, 12, 2, True), (1, 13, 3, True), (2, 11, 1, False)]
 
 
 @pytest.mark.parametrize("seed,n,t", [(1, 1, 0.5), (2, 2, 0.3), (3, 3, 0.3), (4, 2, 0.6), (5, 3, 0.2)])
@@ -231,3 +229,32 @@ def test_cross_similar_equals_brute_force(spark, seed, n, t):
         S.gram_sets(p_df, n, id_col="probe_id", persist=False),
         S.gram_sets(c_df, n, persist=False), t, exclude_self=True).collect()}
     assert got == _brute_cross(probes, corpus, n, t, True)
+
+
+def test_boilerplate_makes_few_candidates(spark):
+    """600 documents of 20 trigrams, 8 of them from one licence line: no pair
+    reaches 0.3, and prefixes with positions keep almost all from meeting."""
+    rnd = random.Random(1)
+    line = "use and copy freely under these same plain terms only forever"
+    docs = [(i, f"{line} " + " ".join(f"w{rnd.randrange(10**9)}" for _ in range(12))) for i in range(600)]
+    gs = S.gram_sets(spark.createDataFrame(docs, "file_id long, text string"), 3, persist=False)
+    sizes = gs.agg(F.min("n_grams"), F.max("n_grams")).first()
+    assert sizes[0] >= 15
+    assert S.candidate_pairs(gs, 0.3, persist=False).count() < 1000
+    assert S.similar_pairs(gs, 0.3).count() == 0
+    probes = gs.filter("id < 50").withColumn("id", F.col("id") + 10_000)
+    seen = []
+    original = S.materialize
+
+    def spy(df, name):
+        out = original(df, name)
+        if name == "candidates":
+            seen.append(out.count())
+        return out
+
+    S.materialize = spy
+    try:
+        got = S.cross_similar(probes, gs.filter("id >= 50"), 0.3).count()
+    finally:
+        S.materialize = original
+    assert got == 0 and seen[0] < 1000
