@@ -1,0 +1,143 @@
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from corpuscheck.llm import op2_hpylm as H
+
+from .texts import LOWER, SCHEMA, WORD, corpus, frame
+
+
+def _brute(docs):
+    """Base columns of each document."""
+    toks = [(i, WORD.findall((t or "").translate(LOWER)) + ["\0end"]) for i, t in docs]
+    held = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in docs]
+    c = Counter(w for (_, ws), h in zip(toks, held) if not h for w in ws)
+    n, v = sum(c.values()), len(c)
+    return [(i, h, len(ws), sum(c[w] > 0 for w in ws), n, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws))
+            for (i, ws), h in zip(toks, held)]
+
+
+@pytest.mark.parametrize("many", [False, True])
+def test_base_columns_equal_brute_force(spark, monkeypatch, many):
+    if many:
+        monkeypatch.setattr(H, "BYTES_PER_PARTITION", 5000)
+        monkeypatch.setattr(H, "CONTEXTS", 50)
+        monkeypatch.setattr(H, "HOT_PAIRS", 300)
+    docs = corpus()
+    df = frame(spark, docs).repartition(4) if many else frame(spark, docs)
+    key = lambda r: (-1 if r[0] is None else r[0], r[2])
+    got = sorted((tuple(r) for r in H.score_documents(df).collect()), key=key)
+    for g, w in zip(got, sorted(_brute(docs), key=key), strict=True):
+        assert g[:5] == w[:5] and g[5] == pytest.approx(w[5], rel=1e-6)
+        assert g[6] < 0
+
+
+def test_model_beats_the_base_on_held_out_rows(spark):
+    rng = random.Random(1)
+    nouns = [f"n{i}" for i in range(300)]
+    follow = {w: rng.sample(nouns, 4) for w in nouns}
+    docs = []
+    for i in range(300):
+        w = [rng.choice(nouns)]
+        for _ in range(rng.randrange(50, 150)):
+            w.append(rng.choice(follow[w[-1]]))
+        docs.append((i, " ".join(w)))
+    rows = [r for r in H.score_documents(frame(spark, docs)).collect() if r.held_out]
+    assert len(rows) > 20 and all(r.score > r.base_score for r in rows)
+    # four followers each: far under the 2.5 digits a token of the base
+    assert -1.0 < sum(r.score for r in rows) / sum(r.n_tokens for r in rows) < -0.5
+
+
+def test_probabilities_of_a_context_sum_to_one(spark, monkeypatch):
+    """One-token texts after a known context: all words and the unknown one share 1."""
+    monkeypatch.setattr(H, "KEPT", 2)
+    rng = random.Random(4)
+    vocabulary = [f"q{i}" for i in range(25)]
+    train = [(i, " ".join(rng.choice(vocabulary) for _ in range(40))) for i in range(1, 120)]
+    df = frame(spark, train).selectExpr("doc_id", "text", "false AS held")
+    model = H.fit(df, 3)
+    # scores of "q0 x" less those of "q0 x" without its middle step, for every x
+    asks = [(1000 + k, f"q0 {w}") for k, w in enumerate(vocabulary + ["unknown"])]
+    held = frame(spark, asks).selectExpr("doc_id", "text", "true AS held")
+    both = H.score(df.unionAll(held), model, 3).filter("held").collect()
+    ends = H.score(df.unionAll(frame(spark, [(1, w) for w in vocabulary]).selectExpr("doc_id", "text", "true AS held")), model, 3)
+    assert len(both) == 26 and ends.count() == len(train) + 25
+    # P(x | q0) = P(q0 x end) / (P(q0 | begin) P(end | x)), by hand from the model's tables
+    total = _context_sum(model, df, "q0", vocabulary)
+    assert total == pytest.approx(1, abs=1e-6)
+
+
+def _context_sum(model, df, context, vocabulary):
+    from corpuscheck.llm.words import hash_spans, split_words, text_buffers
+    import pyarrow as pa
+
+    def code(w):
+        data, bounds = text_buffers(pa.array([w]))
+        return hash_spans(data, *split_words(data, bounds)[:2], lower=True)
+
+    words = np.concatenate([code(w) for w in vocabulary] + [np.array([H.END])])
+    rows = [r.text.split() + ["\0"] for r in df.collect()]
+    pairs = Counter((a, b) for r in rows for a, b in zip(["^"] + r, r))
+    names = vocabulary + ["\0"]
+    count_w = Counter(b for r in rows for b in r)
+    contexts = ["^"] + vocabulary
+    hashes = np.concatenate([np.array([H.BEGIN])] + [code(w) for w in vocabulary])
+    numbers = dict(zip(contexts, model.ctxs.number(hashes)))
+    total = 0.0
+    keys = sorted(pairs)
+    # the seating depends on its partition's words, so it is drawn partition by partition
+    w_of = dict(zip(names, words))
+    owner = {k: int(model.ctxs.bucket(np.array([w_of[k[1]]]), np.array([numbers[k[0]]]))[0]) for k in keys}
+    customers, tables, seats = {w: np.zeros(H.KEPT) for w in names}, {}, {}
+    for b in set(owner.values()):
+        mine = [k for k in keys if owner[k] == b]
+        word = np.array([w_of[k[1]] for k in mine])
+        ctx = np.array([numbers[k[0]] for k in mine])
+        got, n, u, c = H._merge(word, ctx, np.array([pairs[k] for k in mine]))
+        cw = H._word_counts(got, n, c, model.ctxs)
+        t = H.seat_all(n, H.pair_key(got[n], u), c, model.tables_u[u], cw, model.tokens)[-H.KEPT:]
+        back = {h: k for k, h in w_of.items()}
+        for row in range(len(n)):
+            w = back[got[n[row]]]
+            customers[w] += t[:, row]
+            seats[u[row], w] = (c[row], t[:, row])
+    del count_w, tables
+    salted = set(model.ctxs.salted.tolist())
+    u = numbers[context]
+    for w in names:
+        h = np.array([w_of[w]])
+        if int(h[0]) in salted:
+            k = np.searchsorted(model.ctxs.salted, h)
+            cust, tab = model.salted_root[0][:, k], model.salted_root[1][:, k]
+        else:
+            cust = customers[w][:, None]
+            tab = np.stack([H.root_tables(H.mix(h), cust[s].astype(np.int64), model.words, s) for s in range(H.KEPT)])
+        share = model.root_share(cust, tab)
+        c, t = seats.get((u, w), (0, np.zeros(H.KEPT)))
+        total += model.probability(np.array([u]), np.array([c]), t[:, None], share)[0]
+    unknown = model.root_share(np.zeros((H.KEPT, 1)), np.zeros((H.KEPT, 1)))
+    return total + model.probability(np.array([u]), np.array([0]), np.zeros((H.KEPT, 1)), unknown)[0]
+
+
+def test_seating_follows_the_rule():
+    """Tables of two customers: a second table with the probability of the rule."""
+    n = 40_000
+    key = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    seats = H.Seats(key, 2)
+    for s in range(4):
+        t = seats.sweep(np.full(n, 0.5), 0.8, s)
+    # one removed, one stays: joins with weight 0.2, a new table 0.5
+    assert abs((t == 2).mean() - 0.5 / 0.7) < 0.01
+    grown = H.grow_tables(key, np.full(n, 40), np.full(n, 0.5), 0.8, 0)
+    assert 1 <= grown.min() and grown.max() <= 40
+
+
+def test_empty_table_and_no_training(spark):
+    assert H.score_documents(spark.createDataFrame([], SCHEMA)).count() == 0
+    only = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    (r,) = H.score_documents(frame(spark, [(only, "a b")])).collect()
+    assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (True, 3, 0, 0) and r.base_score == 0

@@ -1,0 +1,105 @@
+import itertools
+import random
+
+from corpuscheck.llm import op7_jaccard as J
+from corpuscheck.llm.components import connected_components
+
+from .texts import LOWER, SCHEMA, WORD, corpus, frame, unique_ids, words
+
+
+def _sets(docs):
+    out = {}
+    for i, t in docs:
+        w = WORD.findall((t or "").translate(LOWER))
+        out[i] = {tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+    return out
+
+
+def _brute(docs):
+    sets = _sets(docs)
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        both = len(sets[a] & sets[b])
+        if sets[a] and sets[b] and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    return {i: (len(sets[i]), find(i)) for i in sets}
+
+
+def test_equals_brute_force(spark):
+    docs = unique_ids(corpus())
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_components(frame(spark, docs)).collect()}
+    assert got == _brute(docs)
+
+
+def test_near_copies_around_the_threshold(spark, monkeypatch):
+    """Chains of edits: links of all strengths, hot tokens and many partitions."""
+    monkeypatch.setattr(J, "HOT", 6)
+    monkeypatch.setattr(J.blobs, "text_partitions", lambda docs: 5)
+    rng = random.Random(11)
+    docs, i = [], 0
+    line = " ".join(words(rng, 30))
+    for _ in range(12):
+        w = words(rng, rng.randrange(20, 90))
+        for _ in range(8):
+            docs.append((i, line + " " + " ".join(w) if rng.random() < 0.5 else " ".join(w)))
+            i += 1
+            for _ in range(rng.randrange(1, 4)):
+                w[rng.randrange(len(w))] = f"x{rng.randrange(9)}"
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_components(frame(spark, docs).repartition(4)).collect()}
+    want = _brute(docs)
+    assert got == want
+    assert 12 < len({c for _, c in want.values()}) < len(docs) - 12
+
+
+def test_large_copy_groups_make_few_candidates(spark, monkeypatch):
+    """A group of near copies is verified against its hub, not in all pairs."""
+    rng = random.Random(2)
+    base = words(rng, 200)
+    docs = []
+    for i in range(300):
+        w = list(base)
+        w[rng.randrange(200)] = f"own{i}"
+        docs.append((i, " ".join(w)))
+    docs += [(300 + i, " ".join(base)) for i in range(200)]
+    seen = []
+    verify = J._verify
+    monkeypatch.setattr(J, "_verify", lambda pairs, reps: (seen.append(pairs.count()), verify(pairs, reps))[1])
+    got = J.jaccard_components(frame(spark, docs)).collect()
+    assert {r.component_id for r in got} == {0}
+    assert sum(seen) < 6 * len(docs)
+
+
+def test_repeated_rows_null_ids_and_empty_table(spark):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "A B c d e f"), (4, None), (4, ""), (6, "x y"), (7, "X Y"), (8, "x")]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.jaccard_components(frame(spark, rows)).collect()), key=str)
+    want = [(1, 2, None), (1, 2, None), (None, 2, None), (4, 0, 4), (4, 0, 4), (6, 1, 6), (7, 1, 6), (8, 1, 8)]
+    assert got == sorted(want, key=str)
+    assert J.jaccard_components(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_components_of_random_graphs(spark):
+    rng = random.Random(6)
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(130)] + [(500, i) for i in range(501, 560)] + [(i, i + 1) for i in range(600, 640)]
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    linked = {x for a, b in edges if a != b for x in (a, b)}
+    df = spark.createDataFrame(edges + [(None, 3), (7, None)], "a long, b long")
+    got = {r.node: r.component for r in connected_components(df).collect()}
+    assert got == {x: find(x) for x in linked}
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
