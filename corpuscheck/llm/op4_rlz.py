@@ -254,3 +254,16 @@ def op4_rlz_dedup(spark, sf_dir: str) -> DataFrame:
     from corpuscheck.llm.tables import read
 
     return remove_duplicates(read(spark, sf_dir, "documents"))
+
+
+SQL = """
+WITH w AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+blocks AS MATERIALIZED (SELECT doc_id, p, array_to_string(w[p:p + 19], ' ') AS k FROM w, unnest(range(1, len(w) - 18)) AS t(p)),
+later AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS r FROM blocks) WHERE r > 1),
+gone AS MATERIALIZED (SELECT DISTINCT doc_id, p + o AS pos FROM later, range(0, 20) AS t(o)),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS text FROM words ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+"""

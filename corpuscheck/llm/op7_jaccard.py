@@ -298,3 +298,19 @@ def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:
     from corpuscheck.llm.tables import read
 
     return jaccard_components(read(spark, sf_dir, "documents"))
+
+
+SQL = """
+WITH RECURSIVE w AS MATERIALIZED (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g FROM w),
+t AS MATERIALIZED (SELECT doc_id, unnest(g) AS g FROM s),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM t x JOIN t y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+e AS MATERIALIZED (SELECT a, b FROM c JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b
+  WHERE 100 * n >= 75 * (len(x.g) + len(y.g) - n)),
+sym AS MATERIALIZED (SELECT a, b FROM e UNION SELECT b, a FROM e),
+reach(a, b) AS (SELECT a, a FROM sym UNION SELECT r.a, sym.b FROM reach r JOIN sym ON r.b = sym.a),
+root AS (SELECT a AS doc_id, min(b) AS root FROM reach GROUP BY a)
+SELECT doc_id, len(g) AS n_shingles, coalesce(root, doc_id) AS component_id FROM s LEFT JOIN root USING (doc_id)
+"""
