@@ -39,6 +39,8 @@ PARTITION_PIECES = 50_000
 ROUNDS = 4
 #: Distinct parts of texts whose ids a Python worker remembers.
 CACHE_PARTS = 600_000
+#: Bytes of text tokenised at once.
+CHUNK_BYTES = 4_000_000
 END = 0
 
 
@@ -66,8 +68,11 @@ class PartIds:
         """(place, number) of the ids of each of the distinct ``keys``."""
         if len(self.keys) > CACHE_PARTS:
             self.clear()
-        known = np.isin(keys, self.keys)
-        new = np.flatnonzero(~known)
+        if len(self.keys):
+            k = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            new = np.flatnonzero(self.keys[k] != keys)
+        else:
+            new = np.arange(len(keys))
         if len(new):
             found: list[np.ndarray] = []
             for i in range(0, len(new), 20_000):
@@ -123,7 +128,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
 
     def run(bs: Iterator[pa.RecordBatch]):
         memory = part_ids(path)
-        for c in chunks(bs):
+        for c in chunks(bs, max_bytes=CHUNK_BYTES):
             ids, first = token_ids(c, memory)
             n = np.diff(first) + 1
             count = -(-n // capacity)
