@@ -12,6 +12,8 @@ at least that many words (an item of fewer words must occur whole). Items are
 read in blocks of ``BLOCK_ITEMS``; a block is the only thing sent to all
 tasks and its size is bounded by that parameter and by ``BLOCK_CHARS``; more
 blocks mean more passes, never a larger broadcast. Documents aren't shuffled.
+Passes are chained over the same rows, in one stage: each has a Python worker
+and a block of its own in every task.
 
 Defined results: NULL, empty or blank texts match nothing, nor do items
 without words; an empty benchmark leaves every document clean; items with
@@ -195,36 +197,42 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return docs.sparkSession.createDataFrame([], _MATCHES) if out is None else out
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``(doc_id, contaminated, n_items, best_item, edits)`` of every document."""
-    docs = narrow(docs)
-    parts = []
-    for items in item_blocks(benchmark):
+_STATE = "doc_id long, n_items long, best_item long, edits int"
 
-        def run(bs, items=items):
+
+def _best(n: np.ndarray, best: list, edits: list, found: Iterator[tuple[int, int, int, int, int]]) -> None:
+    """Counts ``found`` in and keeps the item of fewest edits; of equal ones the smallest id, NULL last."""
+    for d, item, e, _, _ in found:
+        n[d] += 1
+        if edits[d] is None or (e, item is None, item or 0) < (edits[d], best[d] is None, best[d] or 0):
+            best[d], edits[d] = item, e
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``(doc_id, contaminated, n_items, best_item, edits)`` of every row of ``docs``; a pass for each block."""
+    rows = narrow(docs).withColumns({"n_items": F.lit(0).cast("long"), "best_item": F.lit(None).cast("long"), "edits": F.lit(None).cast("int")})
+    blocks = item_blocks(benchmark)
+    items = next(blocks, None)
+    while items is not None:
+        following = next(blocks, None)
+
+        # a row stays a row: its text goes on as long as there are blocks to come
+        def run(bs, items=items, last=following is None):
             index = ItemIndex(items)
-            for c in chunks(bs):
-                n, best, edits = np.zeros(len(c), np.int64), [None] * len(c), [None] * len(c)
-                for d, item, e, _, _ in find(c, index):
-                    n[d] += 1
-                    if edits[d] is None or e < edits[d]:
-                        best[d], edits[d] = item, e
-                yield pa.RecordBatch.from_arrays(
-                    [c.rows.column("doc_id").combine_chunks(), pa.array(n > 0), pa.array(n), pa.array(best, pa.int64()), pa.array(edits, pa.int32())],
-                    names=["doc_id", "contaminated", "n_items", "best_item", "edits"])
-
-        parts.append(docs.mapInArrow(run, "doc_id long, contaminated boolean, n_items long, best_item long, edits int"))
-    if not parts:
-        return docs.select("doc_id", F.lit(False).alias("contaminated"), F.lit(0).cast("long").alias("n_items"),
-                           F.lit(None).cast("long").alias("best_item"), F.lit(None).cast("int").alias("edits"))
-    if len(parts) == 1:
-        return parts[0]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionAll(part)
-    return (out.groupBy("doc_id").agg(F.max("contaminated").alias("contaminated"), F.sum("n_items").alias("n_items"),
-                                      F.min(F.when(F.col("edits").isNotNull(), F.struct("edits", "best_item"))).alias("m"))
-            .select("doc_id", "contaminated", "n_items", F.col("m.best_item").alias("best_item"), F.col("m.edits").alias("edits")))
+            for b in bs:
+                at = 0
+                for c in chunks(iter([b])):
+                    part = b.slice(at, len(c))
+                    n, best, edits = part.column("n_items").to_numpy(zero_copy_only=False).copy(), part.column("best_item").to_pylist(), part.column("edits").to_pylist()
+                    _best(n, best, edits, find(c, index))
+                    cols = [part.column("doc_id"), pa.array(n), pa.array(best, pa.int64()), pa.array(edits, pa.int32())]
+                    names = ["doc_id", "n_items", "best_item", "edits"]
+                    yield pa.RecordBatch.from_arrays(cols if last else [*cols, part.column("text")], names=names if last else [*names, "text"])
+                    at += len(c)
+
+        rows = rows.mapInArrow(run, _STATE if following is None else f"{_STATE}, text string")
+        items = following
+    return rows.select("doc_id", (F.col("n_items") > 0).alias("contaminated"), "n_items", "best_item", "edits")
 
 
 def keep_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:

@@ -100,3 +100,23 @@ def test_empty_tables(spark):
     assert D.matches(frame(spark, docs), none).count() == 0
     assert D.keep_documents(frame(spark, docs), none).count() == len(docs)
     assert D.contamination(spark.createDataFrame([], SCHEMA), spark.createDataFrame(items, "item_id long, text string")).count() == 0
+
+
+def test_a_row_stays_a_row_under_several_blocks(spark, monkeypatch):
+    docs, items = _case(spark)
+    hit, other = next(t for i, t in docs if i == 10_000), next(t for i, t in docs if i == 10_005)
+    docs = docs + [(None, hit), (None, "clean"), (None, None), (None, other), (7_000, hit), (7_000, other), (7_000, "clean"), (7_000, hit)]
+    # equal words under a smaller id, under no id, and in another block
+    items = items + [(-5, items[0][1]), (None, items[0][1]), (60, "alpha beta"), (60, items[1][1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = lambda: sorted(map(str, D.contamination(frame(spark, docs), bench).collect()))
+    one = rows()
+    assert len(one) == len(docs) and len(set(one)) < len(docs)
+    for most in (1, 7):
+        monkeypatch.setattr(D, "BLOCK_ITEMS", most)
+        assert rows() == one
+    empty = D.contamination(spark.createDataFrame([], SCHEMA), bench)
+    assert empty.count() == 0 and empty.columns == ["doc_id", "contaminated", "n_items", "best_item", "edits"]
+    found = [(r.doc_id, r.contaminated, r.n_items, r.best_item, r.edits) for r in D.contamination(frame(spark, docs), bench).collect()]
+    assert sorted(f[1] for f in found if f[0] == 7_000) == [False, True, True, True]
+    assert all(f[3] == -5 for f in found if f[0] == 10_000)
