@@ -89,11 +89,43 @@ def resolve(records: DataFrame) -> DataFrame:
     return full.unionAll(again)
 
 
+# How revisits are derived from a page, as text that Spark and DuckDB read alike.
+#: Distance of the ids of a page's records; page ids are smaller.
+REVISIT_IDS = 1 << 40
+_TURN = "(((page_id % 8) + 8) % 8)"
+_ALIAS_TURN = "(((page_id % 3) + 3) % 3)"
+#: The second revisit of a page is only of every third one.
+_HELD = f"(n = 1 OR {_ALIAS_TURN} = 0)"
+_ID = f"(page_id + n * CAST({REVISIT_IDS} AS BIGINT))"
+#: Turn 7's first revisit is before the page's own capture, all others after it.
+_TS = f"CASE WHEN n = 1 AND {_TURN} = 7 THEN page_id - 1 ELSE page_id + CAST(n * n * 10 AS BIGINT) END"
+#: Turns 0 to 2 and 7 agree by etag, 3 by digest, 4 differs by etag, 5 by digest, 6 has no validator; second revisits agree by etag.
+_ETAG = f"CASE WHEN n = 2 OR {_TURN} IN (0, 1, 2, 7) THEN substr(digest, 1, 16) WHEN {_TURN} = 4 THEN 'x' || substr(digest, 1, 15) END"
+_DIGEST = f"CASE WHEN n = 1 AND {_TURN} = 3 THEN digest WHEN n = 1 AND {_TURN} = 5 THEN 'x' || digest END"
+#: Other scheme, a tracking parameter, or a fragment.
+_ALIAS = f"""CASE WHEN {_ALIAS_TURN} = 0 THEN CASE WHEN left(url, 7) = 'http://' THEN 'https://' || substr(url, 8)
+    WHEN left(url, 8) = 'https://' THEN 'http://' || substr(url, 9) ELSE url END
+  WHEN {_ALIAS_TURN} = 1 THEN split_part(url, '#', 1) || CASE WHEN contains(split_part(url, '#', 1), '?') THEN '&' ELSE '?' END || 'utm_source=archive'
+  ELSE url || '#again' END"""
+
+
+def _revisits(pages: DataFrame) -> DataFrame:
+    """One or two not-modified records of every page (``record_id``, ``url``, ``digest``), under alias URLs."""
+    each = (pages.select(F.col("record_id").alias("page_id"), "url", "digest", F.explode(F.array(F.lit(1), F.lit(2))).alias("n")).filter(_HELD)
+            .select(F.expr(_ID).alias("record_id"), F.expr(_ALIAS).alias("url"), F.expr(_TS).alias("ts"), F.expr(_ETAG).alias("etag"), F.expr(_DIGEST).alias("digest")))
+    headers = F.map_filter(F.create_map(F.lit("etag"), F.col("etag"), F.lit("digest"), F.col("digest"),
+                                        F.lit("date"), F.concat(F.lit("t"), F.col("ts").cast("string")), F.lit("content-length"), F.lit("0")),
+                           lambda _, v: v.isNotNull())
+    return each.select("record_id", "url", "ts", F.lit("revisit").alias("kind"), headers.alias("headers"), F.lit(None).cast("string").alias("payload"))
+
+
 def archive(pages: DataFrame) -> DataFrame:
     """Pages as a crawler would store them: a page whose canonical URL's previous
     capture had the same html becomes a not-modified revisit without payload.
 
-    The page's id is its capture time.
+    The page's id is its capture time. Every page is also revisited under an
+    alias URL, every third one twice; the revisits' validators agree, differ or
+    are absent by the page's id, and some are before the page's own capture.
     """
     pages = pages.select(F.col("page_id").cast("bigint").alias("record_id"), F.col("page_id").cast("bigint").alias("ts"),
                          F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
@@ -107,13 +139,14 @@ def archive(pages: DataFrame) -> DataFrame:
         .otherwise(F.create_map(F.lit("etag"), F.substring("digest", 1, 16), F.lit("date"), date, F.lit("digest"), F.col("digest"),
                                 F.lit("content-type"), F.lit("text/html"), F.lit("content-length"),
                                 F.octet_length(F.coalesce("html", F.lit(""))).cast("string")))
-    return pages.join(same, "record_id", "left").select(
+    captures = pages.join(same, "record_id", "left").select(
         "record_id", "url", "ts", F.when(again, "revisit").otherwise("response").alias("kind"), headers.alias("headers"),
         F.when(~again, F.coalesce("html", F.lit(""))).alias("payload"))
+    return captures.unionAll(_revisits(pages))
 
 
 def op9_revisits(spark, sf_dir: str) -> DataFrame:
-    """Every page, archived with revisits and resolved again."""
+    """Every page and its revisits, archived and resolved again; a revisit's id is its page's plus multiples of ``REVISIT_IDS``."""
     from corpuscheck.llm.tables import read
 
     return resolve(archive(read(spark, sf_dir, "pages"))).select(
@@ -123,13 +156,24 @@ def op9_revisits(spark, sf_dir: str) -> DataFrame:
 
 
 SQL = f"""
-WITH p AS MATERIALIZED (SELECT page_id, {urls.sql_key('url')} AS key, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS digest FROM pages),
+WITH p AS MATERIALIZED (SELECT CAST(page_id AS BIGINT) AS page_id, url, {urls.sql_key('url')} AS key, coalesce(html, '') AS html,
+  sha256(coalesce(html, '')) AS digest FROM pages),
 k AS (SELECT *, CASE WHEN key IS NOT NULL AND lag(digest) OVER (PARTITION BY key ORDER BY page_id) = digest
   THEN 'revisit' ELSE 'response' END AS kind FROM p),
-s AS (SELECT *, CASE WHEN key IS NOT NULL AND kind = 'revisit' THEN max(CASE WHEN kind = 'response' THEN page_id END)
-  OVER (PARTITION BY key ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS source_id FROM k)
-SELECT s.page_id, s.key AS canonical_url, s.kind, CASE WHEN s.kind = 'response' THEN 'full' ELSE 'resolved' END AS status, s.source_id,
-  coalesce(o.digest, s.digest) AS payload_sha256, 't' || s.page_id AS date, s.digest[1:16] AS etag,
-  CAST(strlen(coalesce(o.html, s.html)) AS VARCHAR) AS content_length, 'text/html' AS content_type
-FROM s LEFT JOIN s o ON o.page_id = s.source_id
+v AS (SELECT {_ID} AS id, {_TS} AS ts, {_ALIAS} AS url, {_ETAG} AS etag, {_DIGEST} AS validator FROM p CROSS JOIN (VALUES (1), (2)) AS t(n) WHERE {_HELD}),
+r AS (SELECT page_id AS id, page_id AS ts, key, kind, digest[1:16] AS etag, CASE WHEN kind = 'response' THEN digest END AS validator, digest,
+    CAST(strlen(html) AS VARCHAR) AS bytes FROM k
+  UNION ALL SELECT id, ts, {urls.sql_key('url')}, 'revisit', etag, validator, NULL, NULL FROM v),
+s AS (SELECT *, CASE WHEN key IS NOT NULL AND kind = 'revisit' THEN max(CASE WHEN kind = 'response' THEN id END)
+  OVER (PARTITION BY key ORDER BY ts, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS source FROM r),
+j AS (SELECT s.*, o.etag AS source_etag, o.digest AS source_digest, o.bytes AS source_bytes, CASE WHEN s.kind = 'response' THEN 'full'
+  WHEN s.source IS NULL THEN 'unresolved' ELSE CASE coalesce(s.etag = o.etag, s.validator = o.validator)
+  WHEN true THEN 'resolved' WHEN false THEN 'mismatch' ELSE 'unchecked' END END AS status
+  FROM s LEFT JOIN (SELECT * FROM r WHERE kind = 'response') o ON o.id = s.source)
+SELECT id AS page_id, key AS canonical_url, kind, status, CASE WHEN status IN ('resolved', 'unchecked') THEN source END AS source_id,
+  CASE WHEN status = 'full' THEN digest WHEN status IN ('resolved', 'unchecked') THEN source_digest END AS payload_sha256, 't' || ts AS date,
+  CASE WHEN status = 'unchecked' OR (status = 'resolved' AND etag IS NULL) THEN source_etag ELSE etag END AS etag,
+  CASE WHEN status = 'full' THEN bytes WHEN status IN ('resolved', 'unchecked') THEN source_bytes ELSE '0' END AS content_length,
+  CASE WHEN status IN ('full', 'resolved', 'unchecked') THEN 'text/html' END AS content_type
+FROM j
 """

@@ -131,3 +131,21 @@ def test_archive_round_trip(spark):
     _same(spark, V.SQL, got, rows)
     assert V.resolve(V.archive(spark.createDataFrame([], EXTRA))).count() == 0
     assert list(itertools.islice(records.columns, 6)) == ["record_id", "url", "ts", "kind", "headers", "payload"]
+
+
+def test_registered_query_has_every_status(spark, tmp_path):
+    rows = [(i, f"http{'s' * (i % 2)}://h{i % 40}.com/p{i % 57}" + ("?a=1#x" if i % 5 == 0 else ""), f"<p>{i % 9}</p>") for i in range(160)]
+    rows += [(200, None, "x"), (201, "none", None)]
+    _pages(spark, rows).write.parquet(f"{tmp_path}/pages.parquet")
+    got = V.op9_revisits(spark, str(tmp_path))
+    _same(spark, V.SQL, got, rows)
+    out = {r.page_id: r for r in got.collect()}
+    count = {s: sum(r.status == s for r in out.values()) for s in ("full", "resolved", "unchecked", "mismatch", "unresolved")}
+    assert min(count.values()) > 10 and len(out) > 2 * len(rows)
+    # by the stated rule: page 0 is alone at its URL until its revisits, under the other scheme
+    one, two = out[V.REVISIT_IDS], out[2 * V.REVISIT_IDS]
+    assert [(r.kind, r.status, r.source_id, r.date, r.payload_sha256) for r in (one, two)] == [
+        ("revisit", "resolved", 0, "t10", out[0].payload_sha256), ("revisit", "resolved", 0, "t40", out[0].payload_sha256)]
+    first = {n: out[n + V.REVISIT_IDS] for n in (3, 4, 5, 6, 7, 200)}
+    assert {n: r.status for n, r in first.items()} == {3: "resolved", 4: "mismatch", 5: "mismatch", 6: "unchecked", 7: "unresolved", 200: "unresolved"}
+    assert first[6].source_id == 6 and first[4].payload_sha256 is None and first[4].content_length == "0"
