@@ -2,9 +2,9 @@
 
 Restaurants: one for each context (the previous token), whose tables are
 customers of one root restaurant, whose base is uniform over the ``V`` training
-words and one unknown. The ``CONTEXTS`` most frequent tokens have a restaurant
-each; rarer histories share one of ``RARE_CLASSES`` by hash. Dishes are words,
-never cut. Seating is sampled by Gibbs (customers leave and choose a table
+words and one unknown. Every token that recurs in training has a restaurant of
+its own, however many there are; histories seen once share by hash as many as
+there are of them. Dishes are words, never cut. Seating is sampled by Gibbs (customers leave and choose a table
 again); a dish of more than ``SEATED`` customers draws its number of tables by
 the same rule in growing steps. Predictive probabilities are averaged over the
 samples kept:
@@ -15,8 +15,8 @@ How it is spread: the root's customers of a word are the tables of that word
 in all contexts, so a partition owns a range of words with all their contexts,
 and sampling needs only the context's expected number of tables and the word's
 own root share. Words so frequent that one would unbalance the partitions are
-spread by context; their root totals, the contexts' totals and the most
-frequent pairs are bounded tables. Randomness is a hash of (word, context,
+spread by context; their root totals and the most frequent pairs are bounded tables. The contexts'
+totals are a table that grows with the corpus and is sent to all tasks. Randomness is a hash of (word, context,
 sweep), so a restarted task and the scoring pass draw the same seating.
 
 Passes: (1) word counts; (2) context-word counts, seating, totals; (3) every
@@ -34,7 +34,7 @@ hashes.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +47,8 @@ from corpuscheck.llm.words import U64, Chunk, chunks, doc_of, hash_spans, mix, s
 from corpuscheck.session import materialize
 
 FOLDS, HELD_OUT = 7, 2
-CONTEXTS, RARE_CLASSES = 30_000, 64
+#: Training occurrences that give a history its own restaurant, a bound on those (none), and the fewest shared restaurants.
+RECURRING, CONTEXTS, RARE_CLASSES = 2, None, 64
 HOT_PAIRS = 200_000
 DISCOUNT, STRENGTH = 0.8, 5.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 10.0
@@ -181,16 +182,26 @@ class Contexts:
     salted: np.ndarray = field(default_factory=lambda: np.zeros(0, U64))
     salted_count: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     buckets: int = 1
+    pools: int = RARE_CLASSES
 
     def number(self, prev: np.ndarray) -> np.ndarray:
         k = np.minimum(np.searchsorted(self.keys, prev), max(len(self.keys) - 1, 0))
         own = self.keys[k] == prev if len(self.keys) else np.zeros(len(prev), bool)
-        rare = (mix(prev) % U64(RARE_CLASSES)).astype(np.int64) + len(self.keys)
-        return np.where(prev == BEGIN, len(self.keys) + RARE_CLASSES, np.where(own, k, rare))
+        rare = (mix(prev) % U64(self.pools)).astype(np.int64) + len(self.keys)
+        return np.where(prev == BEGIN, len(self.keys) + self.pools, np.where(own, k, rare))
 
     @property
     def size(self) -> int:
-        return len(self.keys) + RARE_CLASSES + 1
+        return len(self.keys) + self.pools + 1
+
+    @property
+    def kind(self) -> type:
+        """The type that context numbers travel in."""
+        return np.uint16 if self.size <= 1 << 16 else np.uint32
+
+    def without_keys(self) -> Contexts:
+        """For tasks that get context numbers: the keys are the large part."""
+        return replace(self, keys=np.zeros(0, U64))
 
     def is_salted(self, word: np.ndarray) -> np.ndarray:
         return np.isin(word, self.salted)
@@ -265,9 +276,9 @@ def word_counts(docs: DataFrame, partitions: int, least: int) -> tuple[int, int,
 
     found = materialize(blobs.reduce_buckets(docs.mapInArrow(send, blobs.SCHEMA), partitions, add, _COUNTS), "lm-words")
     total = found.filter(F.col("kind") == TOTALS).agg(F.sum(F.col("v")[0]), F.sum(F.col("v")[1])).first()
-    # at most (training tokens / least) rows, and only the most frequent of them
-    top = (found.filter(F.col("kind") == WORDS).select("a", F.col("v")[0].alias("n")).orderBy(F.desc("n"), "a").limit(CONTEXTS).toPandas())
-    return int(total[0] or 0), int(total[1] or 0), top["a"].to_numpy(np.int64).view(U64), top["n"].to_numpy().astype(np.int64)
+    top = found.filter(F.col("kind") == WORDS).select("a", F.col("v")[0].alias("n"))
+    top = (top if CONTEXTS is None else top.orderBy(F.desc("n"), "a").limit(CONTEXTS)).toArrow()
+    return int(total[0] or 0), int(total[1] or 0), top["a"].to_numpy().astype(np.int64).view(U64), top["n"].to_numpy().astype(np.int64)
 
 
 # --- pass 2: seating ------------------------------------------------------------
@@ -275,12 +286,12 @@ def word_counts(docs: DataFrame, partitions: int, least: int) -> tuple[int, int,
 def _merge(word: np.ndarray, ctx: np.ndarray, count: np.ndarray):
     """Distinct (word, context) rows in order, with their counts: (words, row's word number, context, count)."""
     words, number = np.unique(word, return_inverse=True)
-    key = (number.astype(U64) << U64(20)) | ctx.astype(U64)
+    key = (number.astype(U64) << U64(32)) | ctx.astype(U64)
     order = np.argsort(key)
     key, count = key[order], count[order]
     at, _ = _runs(key)
     total = np.add.reduceat(count, at) if len(at) else count
-    return words, (key[at] >> U64(20)).astype(np.int64), (key[at] & U64(0xFFFFF)).astype(np.int64), total
+    return words, (key[at] >> U64(32)).astype(np.int64), (key[at] & U64(0xFFFFFFFF)).astype(np.int64), total
 
 
 def _word_counts(words: np.ndarray, number: np.ndarray, count: np.ndarray, ctxs: Contexts) -> np.ndarray:
@@ -305,24 +316,26 @@ def seating_totals(docs: DataFrame, partitions: int, ctxs: Contexts, tables_u: n
                 word = words[n]
                 bucket = ctxs.bucket(word, ctx)
                 order, cuts = _by_owner(ctxs.buckets, bucket, word)
-                word, ctx, count = word[order], ctx[order].astype(np.uint16), count[order].astype(np.uint32)
+                word, ctx, count = word[order], ctx[order].astype(ctxs.kind), count[order].astype(np.uint32)
                 for b in range(ctxs.buckets):
                     i, j = cuts[b], cuts[b + 1]
                     if j > i:
                         at, size = _runs(word[i:j])
-                        yield b, number, TOKENS, blobs.pack(word[i:j][at], size.astype(np.uint16), ctx[i:j], count[i:j])
+                        yield b, number, TOKENS, blobs.pack(word[i:j][at], size.astype(np.uint32), ctx[i:j], count[i:j])
 
         yield from blobs.batches(rows())
 
-    def seat(bucket, rows):
+    owners = ctxs.without_keys()
+
+    def seat(bucket, rows, ctxs=owners):
         word, ctx, count = zip(*[(np.repeat(w, n), u, c) for w, n, u, c in (blobs.unpack(r[3]) for r in rows)])
         words, number, ctx, count = _merge(np.concatenate(word), np.concatenate(ctx).astype(np.int64), np.concatenate(count).astype(np.int64))
         count_w = _word_counts(words, number, count, ctxs)
         t = seat_all(number, pair_key(words[number], ctx), count, tables_u[ctx], count_w, total)[-KEPT:]
-        size = ctxs.size
-        sums = np.stack([np.bincount(ctx, count, size)] + [np.bincount(ctx, x, size) for x in t], axis=1)
-        used = np.flatnonzero(sums[:, 0])
-        yield from _rows(CONTEXT_TOTALS, used, np.zeros(len(used)), sums[used])
+        # by the contexts that the owner has, which don't grow with the corpus
+        used, slot = np.unique(ctx, return_inverse=True)
+        sums = np.stack([np.bincount(slot, count, len(used))] + [np.bincount(slot, x, len(used)) for x in t], axis=1)
+        yield from _rows(CONTEXT_TOTALS, used, np.zeros(len(used)), sums)
         customers = np.stack([np.bincount(number, x, len(words)) for x in t]).astype(np.int64)
         salted = ctxs.is_salted(words)
         yield from _rows(ROOT_TOTALS, words[salted].view(np.int64), np.zeros(salted.sum()), customers[:, salted].T)
@@ -368,26 +381,31 @@ class Model:
         return own / (STRENGTH + self.customers_u[ctx]) + self.back_off[ctx] * share
 
 
-def fit(docs: DataFrame, partitions: int, total_bytes_least: int = 1) -> Model:
-    """The bounded tables of the model; ``docs`` has ``(doc_id, text, held)``."""
-    total, words, hot, count = word_counts(docs, partitions, total_bytes_least)
+def fit(docs: DataFrame, partitions: int, least: int = 1) -> Model:
+    """The tables of the model; ``docs`` has ``(doc_id, text, held)``; tokens seen ``least`` times have their own restaurant."""
+    total, words, hot, count = word_counts(docs, partitions, least)
     buckets = partitions
     heavy = count > max(total // (4 * buckets), 16)
     order = np.argsort(hot)
     hot, count, heavy = hot[order], count[order], heavy[order]
-    ctxs = Contexts(hot[hot != END], hot[heavy], count[heavy], buckets)
+    ctxs = Contexts(hot[hot != END], hot[heavy], count[heavy], buckets, max(RARE_CLASSES, words - len(hot)))
     # every training token but the end is a history once, so a context's customers are its count
     own = count[hot != END]
-    guess = np.concatenate([own, np.full(RARE_CLASSES + 1, max((total - own.sum()) // (RARE_CLASSES + 1), 0))])
-    tables_u = expected_tables(guess)
+    # each row has one end, and one history without a token
+    ends = count[hot == END].sum()
+    guess = np.concatenate([own, np.full(ctxs.pools, max(total - own.sum() - ends, 0) / ctxs.pools), [ends]])
+    tables_u = expected_tables(guess).astype(np.float32)
     seated = seating_totals(docs, partitions, ctxs, tables_u, total, words, max(2, -(-total // HOT_PAIRS)))
     width = 1 + KEPT
-    per = (seated.filter(F.col("kind") == CONTEXT_TOTALS).groupBy("a").agg(*[F.sum(F.col("v")[k]).alias(f"v{k}") for k in range(width)]).toPandas())
-    sums = np.zeros((ctxs.size, width))
-    sums[per["a"]] = per[[f"v{k}" for k in range(width)]].to_numpy()
-    customers_u = sums[:, 0]
+    # as Arrow columns: the contexts' totals are as many as there are contexts
+    per = (seated.filter(F.col("kind") == CONTEXT_TOTALS).groupBy("a").agg(*[F.sum(F.col("v")[k]).cast("float").alias(f"v{k}") for k in range(width)]).toArrow())
+    sums = np.zeros((ctxs.size, width), np.float32)
+    for k in range(width):
+        sums[per["a"].to_numpy(), k] = per[f"v{k}"].to_numpy()
+    del per
+    customers_u = sums[:, 0].copy()
     back_off = ((STRENGTH + DISCOUNT * sums[:, 1:]) / (STRENGTH + customers_u[:, None])).mean(1)
-    back_off = np.where(customers_u > 0, back_off, 1.0)
+    back_off = np.where(customers_u > 0, back_off, 1.0).astype(np.float32)
     roots = (seated.filter(F.col("kind") == ROOT_TOTALS).groupBy("a").agg(*[F.sum(F.col("v")[k]).alias(f"v{k}") for k in range(KEPT)]).toPandas())
     salted = np.zeros((2, KEPT, len(ctxs.salted)))
     if len(roots):
@@ -429,18 +447,18 @@ def _score_bucket(model: Model, bucket: int, rows: list):
         ctxs = model.ctxs
         word, ctx, doc = (np.concatenate([p[k] for p in parts]) for k in (1, 2, 3))
         words, number = np.unique(word, return_inverse=True)
-        key = (number.astype(U64) << U64(20)) | ctx.astype(U64)
+        key = (number.astype(U64) << U64(32)) | ctx.astype(U64)
         train = (doc & 0x8000) == 0
         row_key, count = np.unique(key[train], return_counts=True)
         # pairs that are scored in their chunks take part in the seating
         mine = np.flatnonzero((ctxs.bucket(model.pair_word, model.pair_ctx) == U64(bucket)) & np.isin(model.pair_word, words)) \
             if len(model.pair_word) else np.zeros(0, np.int64)
-        pair = (np.searchsorted(words, model.pair_word[mine]).astype(U64) << U64(20)) | model.pair_ctx[mine].astype(U64)
+        pair = (np.searchsorted(words, model.pair_word[mine]).astype(U64) << U64(32)) | model.pair_ctx[mine].astype(U64)
         all_keys = np.concatenate([row_key, pair])
         order = np.argsort(all_keys)
         all_keys, all_count = all_keys[order], np.concatenate([count, model.pair_rows[mine, 0]])[order]
         fixed = {int(np.searchsorted(all_keys, k)): model.pair_rows[m, 2:2 + SWEEPS] for k, m in zip(pair, mine)}
-        n, u = (all_keys >> U64(20)).astype(np.int64), (all_keys & U64(0xFFFFF)).astype(np.int64)
+        n, u = (all_keys >> U64(32)).astype(np.int64), (all_keys & U64(0xFFFFFFFF)).astype(np.int64)
         count_w = _word_counts(words, n, all_count, ctxs)
         t = seat_all(n, pair_key(words[n], u), all_count, model.tables_u[u], count_w, model.tokens, fixed)[-KEPT:]
         customers = np.stack([np.bincount(n, x, len(words)) for x in t]).astype(float)
@@ -452,7 +470,7 @@ def _score_bucket(model: Model, bucket: int, rows: list):
         share = model.root_share(customers, tables)
         # distinct (word, context) of all tokens, seen in training or not
         asked, back = np.unique(key, return_inverse=True)
-        an, au = (asked >> U64(20)).astype(np.int64), (asked & U64(0xFFFFF)).astype(np.int64)
+        an, au = (asked >> U64(32)).astype(np.int64), (asked & U64(0xFFFFFFFF)).astype(np.int64)
         at = np.minimum(np.searchsorted(all_keys, asked), max(len(all_keys) - 1, 0))
         seen = all_keys[at] == asked if len(all_keys) else np.zeros(len(asked), bool)
         p = model.probability(au, np.where(seen, all_count[at] if len(all_keys) else 0, 0),
@@ -491,7 +509,9 @@ def _add_up(chunk: int, rows: list):
 
 def score(docs: DataFrame, model: Model, partitions: int) -> DataFrame:
     """Scores of all documents under the model; ``docs`` has ``(doc_id, text, held)``."""
-    ctxs = model.ctxs
+    # tasks get the parts of the model they use
+    ctxs, pair_keys, pair_log = model.ctxs, model.pair_keys, model.pair_log
+    owned = replace(model, ctxs=ctxs.without_keys(), pair_order=None, pair_keys=None, pair_log=None)
 
     def send(bs):
         def rows():
@@ -500,9 +520,9 @@ def score(docs: DataFrame, model: Model, partitions: int) -> DataFrame:
                 held = c.column("held")
                 ctx = ctxs.number(prev)
                 key = pair_key(token, ctx)
-                k = np.minimum(np.searchsorted(model.pair_keys, key), max(len(model.pair_keys) - 1, 0))
-                done = model.pair_keys[k] == key if len(model.pair_keys) else np.zeros(len(key), bool)
-                logs = model.pair_log[k[done]] if done.any() else np.zeros((0, 2))
+                k = np.minimum(np.searchsorted(pair_keys, key), max(len(pair_keys) - 1, 0))
+                done = pair_keys[k] == key if len(pair_keys) else np.zeros(len(key), bool)
+                logs = pair_log[k[done]] if done.any() else np.zeros((0, 2))
                 ids = c.rows.column("doc_id")
                 yield number % ctxs.buckets, number, DIRECTORY, blobs.pack(
                     ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy(), held, np.bincount(d, minlength=len(c)),
@@ -511,7 +531,7 @@ def score(docs: DataFrame, model: Model, partitions: int) -> DataFrame:
                 bucket = ctxs.bucket(word, ctx)
                 order, cuts = _by_owner(ctxs.buckets, bucket, word)
                 doc = (d + np.where(held[d], 0x8000, 0)).astype(np.uint16)[order]
-                word, ctx = word[order], ctx[order].astype(np.uint16)
+                word, ctx = word[order], ctx[order].astype(ctxs.kind)
                 for b in range(ctxs.buckets):
                     i, j = cuts[b], cuts[b + 1]
                     if j > i:
@@ -521,7 +541,7 @@ def score(docs: DataFrame, model: Model, partitions: int) -> DataFrame:
         yield from blobs.batches(rows())
 
     def answer(bucket, rows):
-        yield from _score_bucket(model, bucket, rows)
+        yield from _score_bucket(owned, bucket, rows)
 
     answered = blobs.reduce_buckets(docs.mapInArrow(send, blobs.SCHEMA), partitions, answer)
     return blobs.reduce_buckets(answered, partitions, _add_up, _SCORES, key="chunk")
@@ -530,13 +550,11 @@ def score(docs: DataFrame, model: Model, partitions: int) -> DataFrame:
 def score_documents(docs: DataFrame) -> DataFrame:
     """Base and model scores of all documents; those of fold ``HELD_OUT`` are not learned from."""
     docs = narrow(docs).withColumn("held", fold(F.col("doc_id"), FOLDS) == HELD_OUT)
-    total_bytes, rows = docs.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    total_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0]
     floor = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total_bytes = total_bytes or 0
     partitions = max(min(floor, 1 + total_bytes // 1_000_000), 1 + total_bytes // BYTES_PER_PARTITION)
-    # tokens are at most half the bytes and one for each row, which bounds the frequent words
-    least = max(1, (total_bytes // 2 + rows) // (8 * CONTEXTS))
-    model = fit(docs, partitions, least)
+    model = fit(docs, partitions, RECURRING)
     scale = float(np.log10(model.tokens + model.words + 1))
     return score(docs, model, partitions).select(
         "doc_id", F.col("held").alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),

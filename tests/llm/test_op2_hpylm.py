@@ -141,3 +141,24 @@ def test_empty_table_and_no_training(spark):
     only = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     (r,) = H.score_documents(frame(spark, [(only, "a b")])).collect()
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (True, 3, 0, 0) and r.base_score == 0
+
+
+def test_every_recurring_history_has_its_own_restaurant(spark):
+    """Histories seen a few times in over 70,000 others; their followers don't pool."""
+    rng = random.Random(7)
+    n = 70_000
+    docs = [(i, " ".join(x for k in range(i * 50, i * 50 + 50) for x in (f"u{k}", f"f{k % 40}", f"u{k}", f"f{k % 40}"))) for i in range(n // 50)]
+    docs.append((n, " ".join(f"once{rng.random()}" for _ in range(500))))
+    df = frame(spark, docs).selectExpr("doc_id", "text", "false AS held")
+    model = H.fit(df, 3, H.RECURRING)
+    words = {w: c for w, c in Counter(w for _, t in docs for w in t.split()).items() if c > 1}
+    assert len(model.ctxs.keys) == len(words) == n + 40 and model.ctxs.pools == 500
+    # every training token but the end is a history once, and each row has one history without a token
+    assert sorted(model.customers_u[:len(words)].tolist()) == sorted(words.values())
+    assert model.customers_u[len(words):-1].sum() == 500 and model.customers_u[-1] == len(docs)
+    asks = [(10 ** 6 + i, f"u{i * 50} f{i * 50 % 40}") for i in range(100)] + [(2 * 10 ** 6 + i, f"u{i * 50} f{(i * 50 + 20) % 40}") for i in range(100)]
+    held = frame(spark, asks).selectExpr("doc_id", "text", "true AS held")
+    out = {r.doc_id: r.score for r in H.score(df.unionAll(held), model, 3).filter("held").collect()}
+    seen, other = (sum(v for k, v in out.items() if k // 10 ** 6 == m) / 100 for m in (1, 2))
+    # a history of two customers at the same dish: its follower gains at least this much over another one
+    assert seen - other > 0.5
