@@ -1,4 +1,4 @@
-"""Substring dedup by relative Lempel-Ziv parsing.
+"""Substring dedup by anchored block hashing, in place of relative Lempel-Ziv parsing.
 
 The reference is the corpus itself, cut into blocks of 20 consecutive words.
 Every block is indexed under its anchor: the smallest hash among the 8-word
@@ -8,9 +8,9 @@ knows the earliest. Frequent grams (a table of bounded size, from a pass of
 their own over all documents) anchor only blocks that have nothing else, so
 the many different surroundings of a common passage are spread by their own
 words.
-A document is parsed greedily against blocks that start earlier (smaller
-doc_id, or earlier in the same document): a factor grows as long as the next
-block, one word on, is found too. Each block is looked up by itself, also
+No document is parsed into factors with a source position: a document's
+neighbouring blocks that occur earlier (under a smaller doc_id, or earlier in
+the same document) are joined, whichever sources they have. Each block is looked up by itself, also
 those that straddle the boundary of two factors, so a document's duplicate
 spans are exactly the words under blocks that occur earlier.
 
