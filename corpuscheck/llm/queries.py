@@ -8,6 +8,7 @@ from corpuscheck.llm.op2_hpylm import op2_hpylm
 from corpuscheck.llm.op3_rules import op3_quality_rules
 from corpuscheck.llm.op8_packing import op8_best_fit_packing
 from corpuscheck.llm.op10_decontamination import op10_decontamination
+from corpuscheck.llm.op12_structure import op12_structure_repair
 from corpuscheck.llm.op13_pieces import op13_sentencepiece
 
 QUERIES = {
@@ -21,6 +22,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_revisits": op9_revisits.op9_revisits,
     "op10_decontamination": op10_decontamination,
+    "op12_structure_repair": op12_structure_repair,
     "op13_sentencepiece": op13_sentencepiece,
 }
 
