@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpuscheck.llm import op4_rlz, op5_urls, op6_lines, op7_jaccard, op9_revisits
+from corpuscheck.llm import op11_trie, op4_rlz, op5_urls, op6_lines, op7_jaccard, op9_revisits
 from corpuscheck.llm.op1_mil import op1_attention_mil
 from corpuscheck.llm.op2_hpylm import op2_hpylm
 from corpuscheck.llm.op3_rules import op3_quality_rules
@@ -22,6 +22,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_revisits": op9_revisits.op9_revisits,
     "op10_decontamination": op10_decontamination,
+    "op11_prefix_trie": op11_trie.op11_prefix_trie,
     "op12_structure_repair": op12_structure_repair,
     "op13_sentencepiece": op13_sentencepiece,
 }
@@ -32,4 +33,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_line_dedup": op6_lines.SQL,
     "op7_jaccard_join": op7_jaccard.SQL,
     "op9_revisits": op9_revisits.SQL,
+    "op11_prefix_trie": op11_trie.SQL,
 }
