@@ -111,6 +111,17 @@ def ngrams(words: Column | str, n: int = DEFAULT_NGRAM_SIZE) -> Column:
     return F.when(F.size(w) >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
+def ngram_set(norm: Column | str, n: Column | str) -> Column:
+    """Distinct n-grams of a normalised text, with ``n`` a column.
+
+    Words hold no blank, so a split of the joined text gives them back."""
+    words = F.when(_col(norm) == "", F.array().cast("array<string>")).otherwise(F.split(_col(norm), " "))
+    return F.transform(F.array(words), lambda w: F.when(
+        F.size(w) >= _col(n), F.array_distinct(F.transform(
+            F.sequence(F.lit(1), F.size(w) - _col(n) + 1), lambda i: F.array_join(F.slice(w, i, _col(n)), " "))),
+    ).otherwise(F.array().cast("array<string>")))[0]
+
+
 def whitespace_collapsed(c: Column | str) -> Column:
     """Runs of ASCII blanks become one space; ends are not trimmed."""
     return F.regexp_replace(_col(c), ASCII_SPACE_RUN, " ")

@@ -6,32 +6,40 @@ the Jaccard index of their distinct word n-gram sets is ``>= threshold``.
 
 Plan (no cross join, no all-pairs enumeration of a group):
 
-1. ``gram_sets`` turns each text into ``(id, norm_hash, n_grams, grams)`` once
-   and writes it to the checkpoint folder; everything below reads that copy.
-2. Exact copies of normalised text are collapsed to one representative (the
-   smallest id). Pairs inside such a group are similar by definition and come
-   from an equi-join on the hash (the pairs *are* the answer there).
+1. ``gram_sets`` turns each text into ``(id, norm_hash, n, n_grams, tokens,
+   norm)`` once and writes it; everything below reads that copy. ``tokens`` are
+   64-bit codes of the distinct grams, 8 bytes each; the gram strings are not
+   stored, since ``norm`` gives them back for the few documents that need them.
+2. Documents of equal normalised text are one *class*, named by its smallest
+   id (``class_members``). Only that representative takes part below.
 3. Representatives go through a prefix-filtered equi-join (AllPairs/PPJoin,
-   public papers): grams are ordered globally by document frequency. Of two
-   sets with Jaccard >= t, the larger one's first ``n - ceil(t n) + 1`` grams
+   public papers): tokens are ordered globally by document frequency. Of two
+   sets with Jaccard >= t, the larger one's first ``n - ceil(t n) + 1`` tokens
    (its probe prefix) and the smaller one's first ``n - ceil(2t/(1+t) n) + 1``
-   (its index prefix) share one, and at their first common gram at least
-   ``ceil(t/(1+t) (na + nb))`` grams of either set are still to come. The
+   (its index prefix) share one, and at their first common token at least
+   ``ceil(t/(1+t) (na + nb))`` tokens of either set are still to come. The
    positions and sizes travel with the prefix rows, and the join keeps only
    rows that allow this. So a line that many otherwise different documents
    hold, which sorts last by frequency, is outside their index prefixes unless
-   it is about half of such a document. Candidate generation runs on 64-bit
-   gram hashes; a document whose own grams collide keeps its whole set and is
-   exempt from the position tests, so no true pair is lost.
-4. Candidates are verified exactly on the full gram-string sets. They are
-   written first, so that Spark's byte thresholds decide from their size
-   whether the gram sets are streamed past them or shuffled.
-5. Representative pairs are expanded back to the members of both groups.
+   it is about half of such a document. A document whose own grams collide keeps
+   its whole set and is exempt from the position tests, so no true pair is lost.
+4. Candidates are verified in two steps. The tokens of both sides bound the
+   common grams from above (equal strings have equal codes; what a set lost to
+   its own collisions is added), and few pairs under the threshold are left. For
+   these, gram strings are derived from ``norm``, once for each document, and
+   decide. Written lists of candidates and survivors let Spark's byte thresholds
+   choose, on known sizes, between streaming the sets past them and shuffling.
+5. The answer is stored as classes and links between representatives
+   (``class_members``, ``class_links``): as many rows as there are documents,
+   plus a row for each similar pair of *different* texts. Whether a file has an
+   earlier similar one follows from these (``similar_flags``); pairs and lists of
+   ids are expanded on request (``expand_links``, ``earlier_similar``).
 
 ``cross_similar`` (probes against a corpus: incremental batches, stream,
 benchmark checks) ranks only the probe side and joins its prefix tokens with
-the corpus documents' full token lists, so the corpus is never re-ranked. The
-position test of the probe side alone cuts pairs that only share a common line.
+the corpus's postings, one row for each token of a representative. Stored as
+a table bucketed by token (``operators/postings.py``), they are neither exploded
+nor shuffled again by any batch.
 
 Document frequencies come from a partially aggregated ``groupBy``; joining
 them back is an equi-join with one row per key on one side, which AQE can
@@ -46,6 +54,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuscheck.functions import text as T
+from corpuscheck.operators.postings import Postings, stored_postings
 from corpuscheck.session import materialize
 
 EPS = 1e-9
@@ -55,28 +64,28 @@ EPS = 1e-9
 # per-document preparation
 # --------------------------------------------------------------------------
 
+GRAM_COLS = ("id", "norm_hash", "n", "n_grams", "tokens", "norm")
+
+
 def gram_sets(docs: DataFrame, n: int = T.DEFAULT_NGRAM_SIZE,
               stop_words: Iterable[str] = T.DEFAULT_STOP_WORDS,
               id_col: str = "file_id", text_col: str = "text",
               keep: Iterable[str] = (), persist: bool = True) -> DataFrame:
-    """``(id, norm_hash, n_grams, grams, tokens, *keep)`` per document.
+    """``(id, norm_hash, n, n_grams, tokens, norm, *keep)`` per document.
 
-    ``grams`` is the distinct n-gram set of the significant words; ``tokens``
-    their distinct 64-bit hashes, used only to generate candidates. With
-    ``persist`` the frame is written under the checkpoint folder, since the
-    similarity join reads it several times.
+    ``norm`` is the normalised text, ``n_grams`` the number of its distinct
+    n-grams and ``tokens`` their distinct 64-bit hashes. With ``persist`` the
+    frame is written under the checkpoint folder, since the similarity join
+    reads it several times.
     """
     T.check_ngram_size(n)
     keep = list(keep)
     words = docs.select(F.col(id_col).alias("id"), *keep,
                         T.significant_words(text_col, stop_words).alias("words"))
-    gs = words.select(
-        "id", *keep,
-        T.sha256_hex(T.normalized_text("words")).alias("norm_hash"),
-        F.array_distinct(T.ngrams("words", n)).alias("grams"),
-    )
-    gs = (gs.withColumn("n_grams", F.size("grams"))
-          .withColumn("tokens", F.array_distinct(F.transform("grams", lambda g: F.xxhash64(g)))))
+    gs = words.select("id", *keep, T.normalized_text("words").alias("norm"),
+                      F.array_distinct(T.ngrams("words", n)).alias("grams"))
+    gs = gs.select("id", *keep, T.sha256_hex("norm").alias("norm_hash"), F.lit(n).alias("n"), F.size("grams").alias("n_grams"),
+                   F.array_distinct(F.transform("grams", lambda g: F.xxhash64(g))).alias("tokens"), "norm")
     return materialize(gs, "gram_sets") if persist else gs
 
 
@@ -99,8 +108,9 @@ def ngram_frequency(docs: DataFrame, n: int = T.DEFAULT_NGRAM_SIZE,
 
 def pair_jaccard(pairs: DataFrame, gs: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """Jaccard of given pairs over their n-gram *sets*; empty union -> 0.0."""
-    l = gs.select(F.col("id").alias(left), F.col("grams").alias("_ga"), F.col("n_grams").alias("_na"))
-    r = gs.select(F.col("id").alias(right), F.col("grams").alias("_gb"), F.col("n_grams").alias("_nb"))
+    sets = gs.select("id", "n_grams", T.ngram_set("norm", "n").alias("grams"))
+    l = sets.select(F.col("id").alias(left), F.col("grams").alias("_ga"), F.col("n_grams").alias("_na"))
+    r = sets.select(F.col("id").alias(right), F.col("grams").alias("_gb"), F.col("n_grams").alias("_nb"))
     joined = pairs.join(l, left).join(r, right)
     inter = F.size(F.array_intersect("_ga", "_gb"))
     union = F.col("_na") + F.col("_nb") - F.col("_inter")
@@ -159,39 +169,85 @@ def _size_bound(na: str, nb: str, t: float):
     return F.least(F.col(na), F.col(nb)) >= F.greatest(F.col(na), F.col(nb)) * F.lit(t) - F.lit(EPS)
 
 
-def _verify(cand: DataFrame, gs_a: DataFrame, gs_b: DataFrame, t: float,
-            drop_equal_hash: bool) -> DataFrame:
-    """Exact Jaccard of candidate pairs on their gram-string sets.
-
-    Each side of the gram-set table meets the candidates separately; while
-    ``cand`` is small enough for Spark to broadcast, both are streaming passes
-    over the gram sets and only candidate-sized rows reach the final shuffle."""
-    a = (gs_a.select(F.col("id").alias("a"), F.col("grams").alias("ga"),
-                     F.col("n_grams").alias("na"), F.col("norm_hash").alias("ha"))
-         .join(cand, "a"))
-    b = (gs_b.select(F.col("id").alias("b"), F.col("grams").alias("gb"),
-                     F.col("n_grams").alias("nb"), F.col("norm_hash").alias("hb"))
-         .join(cand, "b"))
-    v = a.join(b, ["a", "b"])
-    if drop_equal_hash:
-        v = v.filter(F.col("ha") != F.col("hb"))
-    inter = F.size(F.array_intersect("ga", "gb"))
-    v = v.withColumn("inter", inter)
-    v = v.withColumn("jaccard", F.col("inter") / (F.col("na") + F.col("nb") - F.col("inter")))
-    return v.filter(F.col("jaccard") >= F.lit(t)).select("a", "b", "jaccard")
-
-
-def _groups(gs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(member_rep, rep_ids)``: id -> representative of its normalised text."""
-    members = gs.select("id", "norm_hash")
-    reps = members.groupBy("norm_hash").agg(F.min("id").alias("rep"))
-    member_rep = members.join(reps, "norm_hash").select("rep", "id")
-    return member_rep, reps.select(F.col("rep").alias("id"))
-
-
-def _expand(rep_pairs: DataFrame, member_rep_a: DataFrame, member_rep_b: DataFrame) -> DataFrame:
-    x = member_rep_a.select(F.col("rep").alias("a"), F.col("id").alias("x"))
-    y = member_rep_b.select(F.col("rep").alias("b"), F.col("id").alias("y"))
+def _verify(cand: DataFrame, gs_a: DataFrame, gs_b: DataFrame, t: float) -> DataFrame:
+    """Exact Jaccard of candidate pairs ``(a, b)`` of different texts: ``(a, b, jaccard)``.
+
+    Each side of the gram-set table meets the pairs separately; while those are
+    few enough for Spark to broadcast, both are streaming passes over the sets
+    and only candidate-sized rows reach the shuffle."""
+    code = lambda gs, k: gs.select(F.col("id").alias(k), F.col("tokens").alias(f"t{k}"), F.col("n_grams").alias(f"n{k}"),
+                                   F.col("norm_hash").alias(f"h{k}"))
+    v = code(gs_a, "a").join(cand, "a").join(code(gs_b, "b").join(cand, "b"), ["a", "b"]).filter("ha <> hb")
+    lost = F.least(F.col("na") - F.size("ta"), F.col("nb") - F.size("tb"))
+    v = v.select("a", "b", "na", "nb", (F.size(F.array_intersect("ta", "tb")) + lost).alias("most"))
+    few = materialize(v.filter(F.col("most") / (F.col("na") + F.col("nb") - F.col("most")) >= F.lit(t)).select("a", "b"), "survivors")
+
+    def strings(gs: DataFrame, k: str) -> DataFrame:
+        wanted = gs.select("id", "n", "n_grams", "norm").join(few.select(F.col(k).alias("id")).distinct(), "id", "left_semi")
+        return wanted.select(F.col("id").alias(k), F.col("n_grams").alias(f"n{k}"), T.ngram_set("norm", "n").alias(f"g{k}"))
+
+    v = few.join(strings(gs_a, "a"), "a").join(strings(gs_b, "b"), "b")
+    v = v.select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("inter"))
+    v = v.select("a", "b", (F.col("inter") / (F.col("na") + F.col("nb") - F.col("inter"))).alias("jaccard"))
+    return v.filter(F.col("jaccard") >= F.lit(t))
+
+
+# --------------------------------------------------------------------------
+# classes of equal normalised text
+# --------------------------------------------------------------------------
+
+def class_members(gs: DataFrame) -> DataFrame:
+    """``(id, rep, norm_hash, n_grams)``: every document and its class, the smallest id of equal normalised text."""
+    members = gs.select("id", "norm_hash", "n_grams")
+    first = members.groupBy("norm_hash").agg(F.min("id").alias("rep"))
+    return members.join(first, "norm_hash").select("id", "rep", "norm_hash", "n_grams")
+
+
+def representatives(gs: DataFrame, members: DataFrame) -> DataFrame:
+    """The rows of ``gs`` whose ids name their class (the others are the smaller list to join with)."""
+    return gs.join(members.filter("id <> rep").select("id"), "id", "left_anti")
+
+
+def similar_flags(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``(id, is_plagiarism)``: is there an earlier similar document?
+
+    Of a class all but the first have one; the first has one if its class is
+    the later end of a link. No pair is expanded."""
+    later = links.select(F.col("b").alias("rep")).distinct().withColumn("_later", F.lit(True))
+    return members.join(later, "rep", "left").select("id", ((F.col("id") != F.col("rep")) | F.col("_later").isNotNull()).alias("is_plagiarism"))
+
+
+def expand_links(members: DataFrame, links: DataFrame) -> DataFrame:
+    """All unordered similar pairs ``(a, b, exact, jaccard)``, ``a < b``, of stored classes and links."""
+    return _same_class(members).withColumn("exact", F.lit(True)).select("a", "b", "exact", "jaccard").unionByName(
+        _expand(links, members, members).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.lit(False).alias("exact"), "jaccard"))
+
+
+def earlier_similar(members: DataFrame, links: DataFrame, ids: DataFrame | None = None,
+                    order: tuple[str, ...] = ("id",)) -> DataFrame:
+    """Edges ``(file_id, similar_file_id)`` to the earlier similar files of the requested ``ids`` (all without).
+
+    ``order`` names the columns of ``members`` that tell which file was first.
+    """
+    asked = members if ids is None else members.join(ids.select(F.col("file_id").alias("id")).distinct(), "id", "left_semi")
+    both = links.select(F.col("a").alias("rep"), F.col("b").alias("other")).unionAll(links.select(F.col("b").alias("rep"), F.col("a").alias("other")))
+    here = F.struct(*[F.col(c) for c in order])
+    asked = asked.select(F.col("id").alias("file_id"), "rep", here.alias("_at"))
+    other = members.select(F.col("rep").alias("other"), F.col("id").alias("similar_file_id"), here.alias("_before"))
+    classes = asked.join(both, "rep").select("file_id", "_at", "other").unionAll(asked.select("file_id", "_at", F.col("rep").alias("other")))
+    return classes.join(other, "other").filter("_before < _at").select("file_id", "similar_file_id")
+
+
+def _same_class(members: DataFrame) -> DataFrame:
+    m1 = members.select(F.col("id").alias("a"), "norm_hash", F.col("n_grams").alias("_n"))
+    m2 = members.select(F.col("id").alias("b"), "norm_hash")
+    return (m1.join(m2, "norm_hash").filter(F.col("a") < F.col("b"))
+            .select("a", "b", _exact_flag_jaccard("_n").alias("jaccard")))
+
+
+def _expand(rep_pairs: DataFrame, members_a: DataFrame, members_b: DataFrame) -> DataFrame:
+    x = members_a.select(F.col("rep").alias("a"), F.col("id").alias("x"))
+    y = members_b.select(F.col("rep").alias("b"), F.col("id").alias("y"))
     return rep_pairs.join(x, "a").join(y, "b").select("x", "y", "jaccard")
 
 
@@ -206,21 +262,16 @@ def _exact_flag_jaccard(n_col: str):
 # --------------------------------------------------------------------------
 
 def exact_duplicates(gs: DataFrame) -> DataFrame:
-    """Unordered pairs ``(a < b)`` with equal normalised-text hash."""
-    m1 = gs.select(F.col("id").alias("a"), "norm_hash", F.col("n_grams").alias("_n"))
-    m2 = gs.select(F.col("id").alias("b"), "norm_hash")
-    return (m1.join(m2, "norm_hash").filter(F.col("a") < F.col("b"))
-            .select("a", "b", _exact_flag_jaccard("_n").alias("jaccard")))
+    """Unordered pairs ``(a < b)`` with equal normalised-text hash, expanded from the classes."""
+    return _same_class(gs)
 
 
-def candidate_pairs(gs: DataFrame, threshold: float, rep_ids: DataFrame | None = None,
+def candidate_pairs(gs: DataFrame, threshold: float, members: DataFrame | None = None,
                     persist: bool = True) -> DataFrame:
     """Distinct ``(a, b)``, ``a < b``, among representatives whose prefixes
     meet under the size and position bounds: a superset of the Jaccard matches."""
     t = float(threshold)
-    if rep_ids is None:
-        rep_ids = _groups(gs)[1]
-    tok = _tokens(gs.join(rep_ids, "id", "left_semi"))
+    tok = _tokens(representatives(gs, class_members(gs) if members is None else members))
     pre = _prefix_tokens(tok, _doc_freq(tok), t)
     if persist:
         # both sides of the self-join read the prefix rows: write them once
@@ -237,19 +288,22 @@ def candidate_pairs(gs: DataFrame, threshold: float, rep_ids: DataFrame | None =
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
-def similar_pairs(gs: DataFrame, threshold: float = T.DEFAULT_THRESHOLD) -> DataFrame:
-    """All unordered similar pairs ``(a, b, exact, jaccard)`` with ``a < b``."""
+def class_links(gs: DataFrame, threshold: float = T.DEFAULT_THRESHOLD, members: DataFrame | None = None) -> DataFrame:
+    """``(a, b, jaccard)``, ``a < b`` (``a`` is the earlier): similar representatives of different texts."""
     T.check_threshold(threshold)
-    t = float(threshold)
-    exact = exact_duplicates(gs).withColumn("exact", F.lit(True))
+    cand = materialize(candidate_pairs(gs, threshold, members), "candidates")
+    return _verify(cand, gs, gs, float(threshold))
+
 
-    member_rep, rep_ids = _groups(gs)
-    cand = materialize(candidate_pairs(gs, t, rep_ids), "candidates")
-    near_reps = _verify(cand, gs, gs, t, drop_equal_hash=False)
-    near = (_expand(near_reps, member_rep, member_rep)
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
-                    F.lit(False).alias("exact"), "jaccard"))
-    return exact.select("a", "b", "exact", "jaccard").unionByName(near)
+def similar_classes(gs: DataFrame, threshold: float = T.DEFAULT_THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """The stored form of all similar pairs: ``(class_members, class_links)``, both written."""
+    members = materialize(class_members(gs), "class-members")
+    return members, materialize(class_links(gs, threshold, members), "class-links")
+
+
+def similar_pairs(gs: DataFrame, threshold: float = T.DEFAULT_THRESHOLD) -> DataFrame:
+    """All unordered similar pairs ``(a, b, exact, jaccard)`` with ``a < b``."""
+    return expand_links(*similar_classes(gs, threshold))
 
 
 def _ranked_prefix(tok: DataFrame, dfs: DataFrame, t: float) -> DataFrame:
@@ -264,51 +318,61 @@ def _ranked_prefix(tok: DataFrame, dfs: DataFrame, t: float) -> DataFrame:
             .select("id", "n_grams", "h", "pos", "whole"))
 
 
-def cross_similar(probes_gs: DataFrame, corpus_gs: DataFrame,
-                  threshold: float = T.DEFAULT_THRESHOLD,
-                  exclude_self: bool = True) -> DataFrame:
-    """Similar ``(probe, doc, exact, jaccard)`` pairs between a probe set (a
-    batch) and a corpus.
+def token_postings(gs: DataFrame) -> DataFrame:
+    """``(h, id, n_grams)``: one row for each distinct token of each document."""
+    return _tokens(gs).select("h", "id", "n_grams")
+
+
+def cross_links(probes_gs: DataFrame, corpus_gs: DataFrame, postings: Postings,
+                threshold: float = T.DEFAULT_THRESHOLD) -> DataFrame:
+    """``(a, b, jaccard)``: similar pairs of different texts, ``a`` of the corpus and ``b`` a probe.
 
     One-sided prefix filter: only the probes are ranked; their prefix tokens
     meet the corpus documents' *full* token lists. If J(r, s) >= t, r's
     prefix holds a token of s under any global order, so the corpus is never
     ranked, windowed or collapsed per batch. Document frequencies are counted
-    for the probes' tokens only. Probe-side frames (tokens, prefix,
-    candidates) are written, so that Spark's byte thresholds choose between
-    streaming over the corpus and shuffling it.
-    ``exclude_self`` skips a probe meeting its own id.
+    for the probes' tokens only. Both joins are on the postings' own key, so
+    only the probes' tokens are shuffled (or broadcast, by Spark's byte
+    thresholds on the written lists).
     """
     T.check_threshold(threshold)
     t = float(threshold)
-    pm = probes_gs.select(F.col("id").alias("probe"), "norm_hash", F.col("n_grams").alias("_n"))
-    cm = corpus_gs.select(F.col("id").alias("doc"), "norm_hash")
-    exact = (cm.join(pm, "norm_hash")
-             .select("probe", "doc", F.lit(True).alias("exact"), _exact_flag_jaccard("_n").alias("jaccard")))
-
     p_tok = materialize(_tokens(probes_gs), "probe_tokens")
-    c_tok = _tokens(corpus_gs).select(F.col("id").alias("b"), F.col("n_grams").alias("nb"), "h")
-    dfs = (c_tok.select("h").join(p_tok.select("h").distinct(), "h", "left_semi")
-           .groupBy("h").agg(F.count(F.lit(1)).alias("df")))
-    p_pre = materialize(_ranked_prefix(p_tok, dfs, t).select(
-        F.col("id").alias("a"), F.col("n_grams").alias("na"), "h", "pos", "whole"), "probe_prefix")
-    room = F.col("whole") | (1 + F.col("na") - F.col("pos") >= _least_overlap("na", "nb", t))
-    cand = c_tok.join(p_pre, "h").filter(_size_bound("na", "nb", t) & room)
-    if exclude_self:
-        cand = cand.filter(F.col("a") != F.col("b"))
+    keys = postings.slotted(p_tok.select("h").distinct())
+    dfs = (postings.rows.select("h", "slot").join(keys, ["h", "slot"], "left_semi")
+           .groupBy("h", "slot").agg(F.count(F.lit(1)).alias("n")).groupBy("h").agg(F.sum("n").alias("df")))
+    pre = postings.slotted(_ranked_prefix(p_tok, dfs, t)).select(
+        F.col("id").alias("b"), F.col("n_grams").alias("nb"), "h", "slot", "pos", "whole")
+    pre = materialize(pre, "probe_prefix")
+    room = F.col("whole") | (1 + F.col("nb") - F.col("pos") >= _least_overlap("na", "nb", t))
+    rows = postings.rows.select("h", "slot", F.col("id").alias("a"), F.col("n_grams").alias("na"))
+    cand = rows.join(pre, ["h", "slot"]).filter(_size_bound("na", "nb", t) & room)
     cand = materialize(cand.select("a", "b").distinct(), "candidates")
+    return _verify(cand, corpus_gs, probes_gs, t)
 
-    a = probes_gs.select(F.col("id").alias("a"), F.col("grams").alias("ga"),
-                         F.col("n_grams").alias("na"), F.col("norm_hash").alias("ha"))
-    b = corpus_gs.select(F.col("id").alias("b"), F.col("grams").alias("gb"),
-                         F.col("n_grams").alias("nb"), F.col("norm_hash").alias("hb"))
-    v = b.join(cand, "b").join(a, "a").filter(F.col("ha") != F.col("hb"))
-    inter = F.size(F.array_intersect("ga", "gb"))
-    v = (v.withColumn("inter", inter)
-         .withColumn("jaccard", F.col("inter") / (F.col("na") + F.col("nb") - F.col("inter")))
-         .filter(F.col("jaccard") >= F.lit(t)))
-    near = v.select(F.col("a").alias("probe"), F.col("b").alias("doc"),
-                    F.lit(False).alias("exact"), "jaccard")
+
+def cross_similar(probes_gs: DataFrame, corpus_gs: DataFrame,
+                  threshold: float = T.DEFAULT_THRESHOLD,
+                  exclude_self: bool = True, postings: Postings | None = None,
+                  corpus_members: DataFrame | None = None) -> DataFrame:
+    """Similar ``(probe, doc, exact, jaccard)`` pairs between a probe set (a
+    batch) and a corpus.
+
+    Copies on either side are joined by their representatives and expanded
+    afterwards. ``postings`` are the stored tokens of the corpus's
+    representatives (written here without). ``exclude_self`` skips a probe
+    meeting its own id.
+    """
+    p_members = class_members(probes_gs)
+    c_members = class_members(corpus_gs) if corpus_members is None else corpus_members
+    if postings is None:
+        postings = stored_postings(token_postings(representatives(corpus_gs, c_members)))
+    near = cross_links(representatives(probes_gs, p_members), corpus_gs, postings, threshold)
+    near = (_expand(near, c_members, p_members)
+            .select(F.col("y").alias("probe"), F.col("x").alias("doc"), F.lit(False).alias("exact"), "jaccard"))
+    pm = probes_gs.select(F.col("id").alias("probe"), "norm_hash", F.col("n_grams").alias("_n"))
+    exact = (c_members.select(F.col("id").alias("doc"), "norm_hash").join(pm, "norm_hash")
+             .select("probe", "doc", F.lit(True).alias("exact"), _exact_flag_jaccard("_n").alias("jaccard")))
     out = exact.unionByName(near)
     if exclude_self:
         out = out.filter(F.col("probe") != F.col("doc"))

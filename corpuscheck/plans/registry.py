@@ -229,19 +229,20 @@ def q_check_against_corpus(spark, sf):
     probes = TB.benchmark_probes(spark, sf)
     p_gs = S.gram_sets(probes, 3, id_col="probe_id")
     c_gs = _gram_sets(spark, sf)
-    pairs = S.cross_similar(p_gs, c_gs, 0.3, exclude_self=False)
+    stored = RP.store_corpus(c_gs)
+    pairs = S.cross_similar(p_gs, stored.grams, 0.3, False, stored.postings, stored.members)
     edges = pairs.select(F.col("probe").alias("probe_id"), F.col("doc").alias("similar_file_id"))
     v = plagiarism_verdict(probes, edges, id_col="probe_id")
     return v.select("probe_id", "is_plagiarism", _ids_text("similar_file_ids").alias("similar_file_ids"))
 
 
 def q_prior_similar(spark, sf):
-    return S.prior_edges(S.similar_pairs(_gram_sets(spark, sf), 0.3))
+    return S.earlier_similar(*S.similar_classes(_gram_sets(spark, sf), 0.3))
 
 
 def q_plagiarism_verdict(spark, sf):
     gs = _gram_sets(spark, sf)
-    edges = S.prior_edges(S.similar_pairs(gs, 0.3))
+    edges = S.earlier_similar(*S.similar_classes(gs, 0.3))
     v = plagiarism_verdict(gs.select(F.col("id").alias("file_id")), edges)
     return v.select("file_id", "is_plagiarism", _ids_text("similar_file_ids").alias("similar_file_ids"))
 
@@ -280,9 +281,11 @@ def q_result_lookup(spark, sf):
 
 
 def q_similar_lookup(spark, sf):
+    """Stored classes and links, expanded for the requested files."""
     cat = _catalog(spark, sf)
-    edges = RP.report_edges(cat)
-    out = R.similar_lookup(edges, cat.select("file_id"))
+    members, links = RP.report_classes(cat)
+    requests = cat.select("file_id")
+    out = R.similar_lookup(S.earlier_similar(members, links, requests), requests)
     return out.select("file_id", _ids_text("similar_file_ids").alias("similar_file_ids"))
 
 
@@ -301,8 +304,7 @@ def q_incremental_report(spark, sf):
     stored, stored_edges = RP.report_with_edges(history, analysed=h_a)
     # stored rows that a recompute would not give must come back as they are
     stored = stored.withColumn("word_count", F.col("word_count") + STORED_WORDS)
-    stored_grams = h_a.select("id", "norm_hash", "grams", "n_grams", "tokens")
-    results, _ = RP.incremental_report(stored, stored_edges, full, stored_grams=stored_grams)
+    results, _ = RP.incremental_report(stored, stored_edges, full, stored=RP.store_corpus(h_a))
     return _report_view(results)
 
 

@@ -105,8 +105,7 @@ def test_result_tables(spark):
 def test_stream_two_batches_equal_batch_and_replay_changes_nothing(spark):
     ups = spark.createDataFrame([(i, f"f{i}.txt", t) for i, t in TEXTS], "upload_id long, name string, text string")
     root = ST.run_arrivals(ups, scratch_path(spark, "stream-test"), 2)
-    assert sorted(r.batch for r in spark.read.parquet(os.path.join(root, "results"))
-                  .select("batch").distinct().collect()) == [0, 1]
+    assert sorted(r.batch for r in ST.read_state(spark, root, "members").select("batch").distinct().collect()) == [0, 1]
     streamed = _as_dict(ST.stored_report(spark, root))
     batch = _as_dict(RP.document_report(_catalog(spark)))
     assert sorted(streamed) == sorted(batch)
