@@ -102,8 +102,14 @@ def file_catalog(prepared: DataFrame, with_text: bool = True) -> DataFrame:
                      F.col("file_id").cast("string").alias("location"), "n_bytes"))
     if not with_text:
         return first
-    texts = prepared.select(F.col("upload_id").alias("file_id"), "text")
-    return first.join(texts, "file_id")
+    return first.join(_texts(prepared), "file_id")
+
+
+def _texts(prepared: DataFrame) -> DataFrame:
+    """``(file_id, text)``, to be met by id in an exchange: at any size that needs a
+    cluster the ids are too many to send to all tasks, and the work on texts
+    that follows is dealt evenly, however few row groups they came in."""
+    return prepared.select(F.col("upload_id").alias("file_id"), "text").hint("merge")
 
 
 def incremental_ingest(catalog: DataFrame, batch: DataFrame, with_text: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -118,7 +124,7 @@ def incremental_ingest(catalog: DataFrame, batch: DataFrame, with_text: bool = T
     known = catalog.select("content_hash", F.col("file_id").alias("known_id"))
     new_files = batch_files.join(known, "content_hash", "left_anti")
     if with_text:
-        new_files = new_files.join(batch.select(F.col("upload_id").alias("file_id"), "text"), "file_id")
+        new_files = new_files.join(_texts(batch), "file_id")
     ids = batch.select("upload_id", "content_hash")
     first_in_batch = batch_files.select("content_hash", F.col("file_id").alias("batch_id"))
     mapping = (ids.join(first_in_batch, "content_hash")

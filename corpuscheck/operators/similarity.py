@@ -323,6 +323,11 @@ def token_postings(gs: DataFrame) -> DataFrame:
     return _tokens(gs).select("h", "id", "n_grams")
 
 
+def corpus_postings(gs: DataFrame, members: DataFrame) -> Postings:
+    """Stored postings of the representatives in ``gs``."""
+    return stored_postings(token_postings(representatives(gs, members)), gs.count())
+
+
 def cross_links(probes_gs: DataFrame, corpus_gs: DataFrame, postings: Postings,
                 threshold: float = T.DEFAULT_THRESHOLD) -> DataFrame:
     """``(a, b, jaccard)``: similar pairs of different texts, ``a`` of the corpus and ``b`` a probe.
@@ -366,7 +371,7 @@ def cross_similar(probes_gs: DataFrame, corpus_gs: DataFrame,
     p_members = class_members(probes_gs)
     c_members = class_members(corpus_gs) if corpus_members is None else corpus_members
     if postings is None:
-        postings = stored_postings(token_postings(representatives(corpus_gs, c_members)))
+        postings = corpus_postings(corpus_gs, c_members)
     near = cross_links(representatives(probes_gs, p_members), corpus_gs, postings, threshold)
     near = (_expand(near, c_members, p_members)
             .select(F.col("y").alias("probe"), F.col("x").alias("doc"), F.lit(False).alias("exact"), "jaccard"))

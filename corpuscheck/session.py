@@ -76,6 +76,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a path in any store that Spark reaches."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath  # noqa: SLF001
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = hadoop_path(spark, path)
+    return fs.exists(jpath)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
