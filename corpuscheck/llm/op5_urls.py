@@ -4,7 +4,8 @@ Rules are (action, host, path): a rule fits its host and all subdomains when
 the URL's path starts with the rule's; the longest fitting rule decides. Pages
 that no rule fits take part in redirect equivalence: canonical links and meta
 refreshes are edges between canonical URL keys, components of that graph are
-aliases of one resource, and a block that a rule gave to any alias reaches the
+aliases of one resource (every such tag of a page counts, its attributes in any
+order and case), and a block that a rule gave to any alias reaches the
 undecided ones, unless a rule explicitly allows an alias.
 
 All of it is DataFrame operations. Rules meet the distinct hosts (their
@@ -36,9 +37,13 @@ RULES = (
     ("block", "com", "/de/"),
 )
 
-_LINK_TAG = r"(?is)(<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>)"
-_HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-_REFRESH = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*\bcontent\s*=\s*[\"']?\s*[0-9.]+\s*;\s*url\s*=\s*[\"']?([^\"'\s>]+)"
+# What a page may name another place by: every link and meta tag, its attributes in any order and case.
+_NAMES = r"(?i)canonical|refresh"
+_TAG = r"(?is)(<(?:link|meta)\b[^>]*>)"
+_CANONICAL = r"(?is)^<link\b.*\brel\s*=\s*(?:\"[^\"]*\bcanonical\b|'[^']*\bcanonical\b|canonical\b)"
+_HREF = r"(?is)\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)"
+_REFRESH = r"(?is)^<meta\b.*\bhttp-equiv\s*=\s*[\"']?\s*refresh\b"
+_CONTENT = r"(?is)\bcontent\s*=\s*[\"']?\s*[0-9.]+\s*;\s*url\s*=\s*[\"']?\s*([^\"'\s>]+)"
 
 
 def rule_table(spark, rules=RULES) -> DataFrame:
@@ -69,12 +74,12 @@ def by_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
 def links(pages: DataFrame) -> DataFrame:
     """``(a, b)``: canonical keys of pages and of what they redirect or canonically link to."""
     html, url = F.col("html"), F.col("url")
-    # the plain searches spare almost every page the expressions
-    tag = F.when(html.contains("anonical") | html.contains("ANONICAL"), F.regexp_extract(html, _LINK_TAG, 1))
-    canonical = F.when(tag != "", F.regexp_extract(tag, _HREF, 1))
-    refresh = F.when(html.contains("efresh") | html.contains("EFRESH"), F.regexp_extract(html, _REFRESH, 1))
-    found = (pages.filter(url.contains("://")).select(url, F.array(canonical, refresh).alias("t"))
-             .select(url, F.explode(F.filter("t", lambda t: t.isNotNull() & (t != ""))).alias("t")))
+    # the plain search spares almost every page the expressions
+    named = pages.filter(url.contains("://") & html.rlike(_NAMES))
+    target = lambda t: (F.when(t.rlike(_CANONICAL), F.regexp_extract(t, _HREF, 1))
+                        .when(t.rlike(_REFRESH), F.regexp_extract(t, _CONTENT, 1)))
+    tags = named.select(url, F.explode(F.regexp_extract_all(html, F.lit(_TAG), 1)).alias("tag"))
+    found = tags.select(url, target(F.col("tag")).alias("t")).filter("t <> ''")
     return (found.select(urls.canonical_key(url).alias("a"), urls.canonical_key(urls.absolute(F.col("t"), url)).alias("b"))
             .filter("a <> b").distinct())
 
@@ -119,8 +124,9 @@ best AS (SELECT n, arg_max(rhost || rpath, (length(rhost || rpath), action = 'al
   arg_max(action, (length(rhost || rpath), action = 'allow')) AS action
   FROM p JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY n),
 ruled AS MATERIALIZED (SELECT p.page_id, host, path, key, rule, action FROM p LEFT JOIN best USING (n)),
-found AS (SELECT key, host, path, unnest([regexp_extract(regexp_extract(html, {q(_LINK_TAG)}, 1), {q(_HREF)}, 1),
-  regexp_extract(html, {q(_REFRESH)}, 1)]) AS t FROM p WHERE key IS NOT NULL),
+tags AS (SELECT key, host, path, unnest(regexp_extract_all(html, {q(_TAG)}, 1)) AS tag FROM p WHERE key IS NOT NULL),
+found AS (SELECT key, host, path, CASE WHEN regexp_matches(tag, {q(_CANONICAL)}) THEN regexp_extract(tag, {q(_HREF)}, 1)
+  WHEN regexp_matches(tag, {q(_REFRESH)}) THEN regexp_extract(tag, {q(_CONTENT)}, 1) END AS t FROM tags),
 goals AS (SELECT key, {target} AS goal FROM found),
 one AS (SELECT DISTINCT key AS a, {urls.sql_key('goal')} AS b FROM goals WHERE goal IS NOT NULL),
 edges AS MATERIALIZED (SELECT a, b FROM one WHERE a <> b UNION SELECT b, a FROM one WHERE a <> b),

@@ -130,16 +130,17 @@ def archive(pages: DataFrame) -> DataFrame:
     pages = pages.select(F.col("page_id").cast("bigint").alias("record_id"), F.col("page_id").cast("bigint").alias("ts"),
                          F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     pages = pages.withColumn("digest", F.sha2(F.coalesce("html", F.lit("")), 256)).withColumn("key", urls.canonical_key(F.col("url")))
-    seen = latest_before(pages.filter("key IS NOT NULL").select("key", "ts", "record_id", "digest"), F.col("digest"), F.lit(True))
-    same = seen.filter(F.col("source") == F.col("digest")).select("record_id").distinct().withColumn("again", F.lit(True))
-    same = materialize(same, "warc-same")
-    again = F.coalesce("again", F.lit(False))
+    # repeated rows of one page are one capture, not each other's earlier one
+    once = pages.filter("key IS NOT NULL").groupBy("key", "ts", "record_id").agg(F.max("digest").alias("digest"))
+    seen = latest_before(once, F.col("digest"), F.lit(True)).filter("source IS NOT NULL")
+    same = materialize(seen.select("record_id", "key", F.col("source").alias("seen")), "warc-same")
+    again = F.coalesce(F.col("seen") == F.col("digest"), F.lit(False))
     date = F.concat(F.lit("t"), F.col("ts").cast("string"))
     headers = F.when(again, F.create_map(F.lit("etag"), F.substring("digest", 1, 16), F.lit("date"), date, F.lit("content-length"), F.lit("0"))) \
         .otherwise(F.create_map(F.lit("etag"), F.substring("digest", 1, 16), F.lit("date"), date, F.lit("digest"), F.col("digest"),
                                 F.lit("content-type"), F.lit("text/html"), F.lit("content-length"),
                                 F.octet_length(F.coalesce("html", F.lit(""))).cast("string")))
-    captures = pages.join(same, "record_id", "left").select(
+    captures = pages.join(same, ["record_id", "key"], "left").select(
         "record_id", "url", "ts", F.when(again, "revisit").otherwise("response").alias("kind"), headers.alias("headers"),
         F.when(~again, F.coalesce("html", F.lit(""))).alias("payload"))
     return captures.unionAll(_revisits(pages))
@@ -158,8 +159,8 @@ def op9_revisits(spark, sf_dir: str) -> DataFrame:
 SQL = f"""
 WITH p AS MATERIALIZED (SELECT CAST(page_id AS BIGINT) AS page_id, url, {urls.sql_key('url')} AS key, coalesce(html, '') AS html,
   sha256(coalesce(html, '')) AS digest FROM pages),
-k AS (SELECT *, CASE WHEN key IS NOT NULL AND lag(digest) OVER (PARTITION BY key ORDER BY page_id) = digest
-  THEN 'revisit' ELSE 'response' END AS kind FROM p),
+once AS (SELECT key, page_id, lag(max(digest)) OVER (PARTITION BY key ORDER BY page_id) AS seen FROM p WHERE key IS NOT NULL GROUP BY key, page_id),
+k AS (SELECT p.*, CASE WHEN seen = digest THEN 'revisit' ELSE 'response' END AS kind FROM p LEFT JOIN once USING (key, page_id)),
 v AS (SELECT {_ID} AS id, {_TS} AS ts, {_ALIAS} AS url, {_ETAG} AS etag, {_DIGEST} AS validator FROM p CROSS JOIN (VALUES (1), (2)) AS t(n) WHERE {_HELD}),
 r AS (SELECT page_id AS id, page_id AS ts, key, kind, digest[1:16] AS etag, CASE WHEN kind = 'response' THEN digest END AS validator, digest,
     CAST(strlen(html) AS VARCHAR) AS bytes FROM k
@@ -169,7 +170,7 @@ s AS (SELECT *, CASE WHEN key IS NOT NULL AND kind = 'revisit' THEN max(CASE WHE
 j AS (SELECT s.*, o.etag AS source_etag, o.digest AS source_digest, o.bytes AS source_bytes, CASE WHEN s.kind = 'response' THEN 'full'
   WHEN s.source IS NULL THEN 'unresolved' ELSE CASE coalesce(s.etag = o.etag, s.validator = o.validator)
   WHEN true THEN 'resolved' WHEN false THEN 'mismatch' ELSE 'unchecked' END END AS status
-  FROM s LEFT JOIN (SELECT * FROM r WHERE kind = 'response') o ON o.id = s.source)
+  FROM s LEFT JOIN (SELECT DISTINCT ON (id) * FROM r WHERE kind = 'response') o ON o.id = s.source)
 SELECT id AS page_id, key AS canonical_url, kind, status, CASE WHEN status IN ('resolved', 'unchecked') THEN source END AS source_id,
   CASE WHEN status = 'full' THEN digest WHEN status IN ('resolved', 'unchecked') THEN source_digest END AS payload_sha256, 't' || ts AS date,
   CASE WHEN status = 'unchecked' OR (status = 'resolved' AND etag IS NULL) THEN source_etag ELSE etag END AS etag,

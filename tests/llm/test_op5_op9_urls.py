@@ -58,6 +58,23 @@ def _same(spark, sql, got, rows):
     assert sorted(rel.fetchall(), key=key) == sorted((tuple(r[n] for n in names) for r in got.collect()), key=key)
 
 
+MORE_LINKS = [
+    (1, "http://b.com/de/q", "x"),                                                                     # blocked by a rule
+    (2, "http://d.net/1", "<meta content='0;url=http://b.com/de/q' http-equiv='refresh'>"),             # content first
+    (3, "http://d.net/2", '<link rel="alternate CanonicaL" href=http://d.net/1>'),                      # spelling, list of rels
+    (4, "http://d.net/3", '<meta name=x><LINK HREF="http://none.net/" REL=canonical><link rel=canonical href="/2">'),   # the second one
+    (5, "http://d.net/4", "<p rel='canonical' href='/2'>refresh</p>"),                                  # no link at all
+    (6, "http://e.net/", '<meta http-equiv=refresh content="5"><meta HTTP-EQUIV="REFRESH" content="0; URL=http://d.net/3">'),
+    (7, "http://f.net/", '<link rel="canonical-url" href="http://q.net/">'),
+]
+
+
+def test_every_tag_in_any_order_is_an_edge(spark):
+    got = {r.page_id: r.verdict for r in U.decide(_pages(spark, MORE_LINKS), U.rule_table(spark)).collect()}
+    assert {k: v for k, v in got.items() if k != 7} == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow", 6: "block"}
+    _same(spark, U.SQL, U.decide(_pages(spark, MORE_LINKS), U.rule_table(spark)), MORE_LINKS)
+
+
 def test_sql_of_url_filter_agrees(spark):
     _same(spark, U.SQL, U.decide(_pages(spark, PAGES), U.rule_table(spark)), PAGES)
     _same(spark, U.SQL, U.decide(_pages(spark, PAGES[4:]), U.rule_table(spark)), PAGES[4:])
@@ -149,3 +166,14 @@ def test_registered_query_has_every_status(spark, tmp_path):
     first = {n: out[n + V.REVISIT_IDS] for n in (3, 4, 5, 6, 7, 200)}
     assert {n: r.status for n, r in first.items()} == {3: "resolved", 4: "mismatch", 5: "mismatch", 6: "unchecked", 7: "unresolved", 200: "unresolved"}
     assert first[6].source_id == 6 and first[4].payload_sha256 is None and first[4].content_length == "0"
+
+
+def test_repeated_pages_keep_their_payload(spark, tmp_path):
+    """Copies of one row are one capture: each stays a response, and revisits find it."""
+    rows = [(1, "http://a.com/", "A")] * 3 + [(9, "http://a.com", "A"), (9, "http://a.com", "A"), (17, "http://a.com", "B"), (2, "http://b.com/", "A")]
+    _pages(spark, rows).write.parquet(f"{tmp_path}/pages.parquet")
+    got = V.op9_revisits(spark, str(tmp_path))
+    _same(spark, V.SQL, got, rows)
+    out = [(r.page_id, r.kind, r.status, r.source_id, r.payload_sha256 is not None) for r in got.collect() if r.page_id < 100]
+    assert sorted(out, key=str) == sorted([(1, "response", "full", None, True)] * 3 + [(9, "revisit", "resolved", 1, True)] * 2
+                                          + [(17, "response", "full", None, True), (2, "response", "full", None, True)], key=str)
