@@ -11,7 +11,8 @@ a round that doesn't save a sequence ends it.
 
 Tokenising looks every distinct blank-led piece of text up once: the BPE's
 pre-tokeniser never matches across a single space between two other
-characters, so the ids of a text are those of its parts end to end.
+characters, nor from an ASCII letter to a mark other than the apostrophe, so the
+ids of a text are those of its parts end to end.
 
 Defined results: a NULL or empty text is the single id 0; rows with the same
 id are packed each on their own; a NULL id is kept as NULL; an empty table
@@ -29,20 +30,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuscheck.llm.op13_pieces import PartIds
 from corpuscheck.llm.tables import narrow
-from corpuscheck.llm.words import U64, Chunk, chunks, hash_spans
+from corpuscheck.llm.words import Chunk, chunks, hash_spans
 from corpuscheck.session import materialize
 
 CAPACITY = 2048
 #: Pieces that one partition packs.
 PARTITION_PIECES = 50_000
 ROUNDS = 4
-#: Distinct parts of texts whose ids a Python worker remembers.
-CACHE_PARTS = 600_000
+#: Distinct parts of texts whose ids a Python worker remembers, in each of two generations.
+CACHE_PARTS = 400_000
 #: Bytes of text tokenised at once.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 8_000_000
 END = 0
 
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[ord(c) for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"]] = True
+# ASCII marks but the apostrophe; those that a special token's text holds stay with their neighbours.
+_MARK[[ord(c) for c in "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"]] = True
+
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
@@ -50,42 +57,26 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class PartIds:
-    """Ids of text parts by their hash: sorted keys over one array of ids."""
+class Encoder:
+    """A tokenizer file, as ``PartIds`` asks for it."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
-
-    def clear(self) -> None:
-        self.keys, self.at, self.n = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def find(self, keys: np.ndarray, text_of) -> tuple[np.ndarray, np.ndarray]:
-        """(place, number) of the ids of each of the distinct ``keys``."""
-        if len(self.keys) > CACHE_PARTS:
-            self.clear()
-        if len(self.keys):
-            k = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            new = np.flatnonzero(self.keys[k] != keys)
-        else:
-            new = np.arange(len(keys))
-        if len(new):
-            found: list[np.ndarray] = []
-            for i in range(0, len(new), 20_000):
-                some = self.tokenizer.encode_batch([text_of(k) for k in new[i:i + 20_000]], add_special_tokens=False)
-                found += [np.array(e.ids, np.uint32) for e in some]
-            n = np.array([len(x) for x in found], np.int64)
-            at = len(self.ids) + np.cumsum(n) - n
-            self.ids = np.concatenate([self.ids, *found])
-            keys_, at, n = np.concatenate([self.keys, keys[new]]), np.concatenate([self.at, at]), np.concatenate([self.n, n])
-            order = np.argsort(keys_)
-            self.keys, self.at, self.n = keys_[order], at[order], n[order]
-        k = np.searchsorted(self.keys, keys)
-        return self.at[k], self.n[k]
+
+    def encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        tokens, count = [], []
+        for i in range(0, len(parts), 20_000):
+            for e in self.tokenizer.encode_batch(parts[i:i + 20_000], add_special_tokens=False):
+                ids = e.ids
+                tokens += ids
+                count.append(len(ids))
+        return np.array(tokens, np.uint32), np.array(count, np.int64)
+
+    def ids(self, tokens: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return tokens, count
 
 
 def part_ids(path: str) -> PartIds:
@@ -94,7 +85,7 @@ def part_ids(path: str) -> PartIds:
 
     held = vars(tokenizers).setdefault("_part_ids", {})
     if path not in held:
-        held[path] = PartIds(path)
+        held[path] = PartIds(Encoder(path), CACHE_PARTS)
     return held[path]
 
 
@@ -106,6 +97,8 @@ def token_ids(chunk: Chunk, memory: PartIds) -> tuple[np.ndarray, np.ndarray]:
     solid = data > 0x20
     cut = np.zeros(len(data), bool)
     cut[1:-1] = (data[1:-1] == 0x20) & solid[:-2] & solid[2:] & ((data[:-2] < 0x7F) | (data[2:] < 0x7F))
+    # a run of letters ends at a mark, but for the apostrophe, and the mark starts a run of marks
+    cut[1:] |= _LETTER[data[:-1]] & _MARK[data[1:]]
     # a part may not reach over a document's edge
     edge = bounds[(bounds > 0) & (bounds < len(data))]
     cut[edge] = True
@@ -113,10 +106,10 @@ def token_ids(chunk: Chunk, memory: PartIds) -> tuple[np.ndarray, np.ndarray]:
     start = np.flatnonzero(cut)
     end = np.append(start[1:], len(data))
     keys, sample, back = np.unique(hash_spans(data, start, end), return_index=True, return_inverse=True)
-    at, n = memory.find(keys, lambda k: data[start[sample[k]]:end[sample[k]]].tobytes().decode("utf-8", "replace"))
+    at, n, held = memory.find(keys, lambda k: data[start[sample[k]]:end[sample[k]]].tobytes().decode("utf-8", "replace"))
     size = n[back]
     total = np.concatenate([[0], np.cumsum(size)])
-    ids = memory.ids[np.repeat(at[back] - total[:-1], size) + np.arange(total[-1])]
+    ids = held[np.repeat(at[back] - total[:-1], size) + np.arange(total[-1])]
     return ids, total[np.searchsorted(start, bounds)]
 
 
