@@ -9,7 +9,7 @@ Semantics kept from the original service:
 * paragraphs are the pieces of a split on the literal two-character string
   ``"\\n\\n"`` that are not blank after trimming White_Space;
 * "characters" are UTF-8 bytes;
-* significant words: lower-case per code point, every punctuation code point
+* significant words: stray bytes become one U+FFFD each, lower-case per code point, every punctuation code point
   (general category P) becomes one space, split into words, stop words out;
 * n-grams are ``n`` consecutive words joined by one space; fewer than ``n``
   words give none.
@@ -77,6 +77,30 @@ def tokens(c: Column | str) -> Column:
     return F.filter(F.split(_col(c), WS_RUN, -1), lambda w: w != "")
 
 
+# UTF-8 sequences, with a byte for each character (Unicode, table 3-7).
+_CONT = r"[\x80-\xBF]"
+_TWO = rf"[\xC2-\xDF]{_CONT}"
+_THREE = rf"(?:\xE0[\xA0-\xBF]|[\xE1-\xEC\xEE\xEF]{_CONT}|\xED[\x80-\x9F]){_CONT}"
+_FOUR = rf"(?:\xF0[\x90-\xBF]|[\xF1-\xF3]{_CONT}|\xF4[\x80-\x8F]){_CONT}{_CONT}"
+# A byte of no sequence: a lead that none starts with, or a byte that follows no such lead closely enough.
+_STRAY = (rf"(?!{_TWO}|{_THREE}|{_FOUR})[\xC0-\xFF]"
+          rf"|(?<!(?={_TWO}|{_THREE}|{_FOUR})[\xC2-\xF4])(?<!(?={_THREE}|{_FOUR})[\xE0-\xF4]{_CONT})"
+          rf"(?<!(?={_FOUR})[\xF0-\xF4]{_CONT}{_CONT}){_CONT}")
+
+
+def decoded(c: Column | str) -> Column:
+    """Text of UTF-8 bytes (string or binary) with one U+FFFD for *each* stray byte.
+
+    The JVM gives one for a whole broken sequence, so it is not asked to: bytes
+    are looked at as Latin-1 characters, stray ones replaced by the three bytes
+    of U+FFFD. Valid texts, thus nearly all, are only checked.
+    """
+    as_text = _col(c).cast("string")
+    latin = F.decode(_col(c).cast("binary"), "ISO-8859-1")
+    mended = F.regexp_replace(latin, _STRAY, "\xef\xbf\xbd")
+    return F.when(F.is_valid_utf8(as_text), as_text).otherwise(F.decode(F.encode(mended, "ISO-8859-1"), "UTF-8"))
+
+
 def lower_per_codepoint(c: Column | str) -> Column:
     """Lower-case one code point at a time.
 
@@ -91,7 +115,7 @@ def significant_words(c: Column | str,
                       stop_words: Iterable[str] = DEFAULT_STOP_WORDS) -> Column:
     """Lower-cased words with punctuation replaced by spaces, stop words out."""
     stops = list(dict.fromkeys(stop_words))
-    depunct = F.regexp_replace(lower_per_codepoint(c), PUNCT_CHAR, " ")
+    depunct = F.regexp_replace(lower_per_codepoint(decoded(c)), PUNCT_CHAR, " ")
     words = F.split(depunct, WS_RUN, -1)
     if stops:
         return F.filter(words, lambda w: (w != "") & ~w.isin(stops))
