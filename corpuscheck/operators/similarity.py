@@ -344,14 +344,13 @@ def cross_links(probes_gs: DataFrame, corpus_gs: DataFrame, postings: Postings,
     t = float(threshold)
     p_tok = materialize(_tokens(probes_gs), "probe_tokens")
     keys = postings.slotted(p_tok.select("h").distinct())
-    dfs = (postings.rows.select("h", "slot").join(keys, ["h", "slot"], "left_semi")
-           .groupBy("h", "slot").agg(F.count(F.lit(1)).alias("n")).groupBy("h").agg(F.sum("n").alias("df")))
+    dfs = postings.meet(keys, "left_semi").groupBy("h").agg(F.count(F.lit(1)).alias("df"))
     pre = postings.slotted(_ranked_prefix(p_tok, dfs, t)).select(
         F.col("id").alias("b"), F.col("n_grams").alias("nb"), "h", "slot", "pos", "whole")
     pre = materialize(pre, "probe_prefix")
     room = F.col("whole") | (1 + F.col("nb") - F.col("pos") >= _least_overlap("na", "nb", t))
-    rows = postings.rows.select("h", "slot", F.col("id").alias("a"), F.col("n_grams").alias("na"))
-    cand = rows.join(pre, ["h", "slot"]).filter(_size_bound("na", "nb", t) & room)
+    met = postings.meet(pre).withColumnsRenamed({"id": "a", "n_grams": "na"})
+    cand = met.filter(_size_bound("na", "nb", t) & room)
     cand = materialize(cand.select("a", "b").distinct(), "candidates")
     return _verify(cand, corpus_gs, probes_gs, t)
 

@@ -59,9 +59,14 @@ def test_postings_are_joined_without_an_exchange(spark, monkeypatch):
     got = _pairs(S.cross_similar(_gram_sets(spark, _texts(1, 80)[30:] + _texts(2, 20), 500), stored.grams, 0.3, True, stored.postings, stored.members))
     assert len(got) > 50
     for name in ("probe_prefix", "candidates"):
-        lines = plans[name]
-        at = next(i for i, x in enumerate(lines) if "Bucketed: true" in x)
-        depth = lambda x: len(re.match(r"[\s:+\-|]*", x).group())
+        assert _until_joined(plans[name]) == 1
+
+
+def _until_joined(lines):
+    """Number of bucketed scans of a plan; neither an exchange nor an explode may lie between them and their join."""
+    depth = lambda x: len(re.match(r"[\s:+\-|]*", x).group())
+    scans = [i for i, x in enumerate(lines) if "Bucketed: true" in x]
+    for at in scans:
         above, level = [], depth(lines[at])
         for x in reversed(lines[:at]):
             if depth(x) < level:
@@ -69,6 +74,25 @@ def test_postings_are_joined_without_an_exchange(spark, monkeypatch):
                 above.append(x.strip(" :+-"))
         join = next(i for i, x in enumerate(above) if "Join" in x)
         assert not [x for x in above[:join] if "Exchange" in x or "Generate" in x], above
+    return len(scans)
+
+
+def test_a_batch_looks_hashes_up_in_every_segment_without_an_exchange(spark):
+    """First ids by content hash, over segments and in another session's tables; the catalogue isn't read."""
+    from corpuscheck.operators import ingest as I
+
+    root = os.path.join(scratch_path(spark, "segments"), "state")
+    ST.process_batch(_uploads(spark, ["one two three", "four five six"]), 0, root)
+    ST.process_batch(_uploads(spark, ["four five six", "seven eight nine"], 10), 1, root)
+    state = SS.latest(spark, root)
+    assert len(state.segments) == 2
+    batch = I.prepare_uploads(_uploads(spark, ["seven eight nine", "one two three", "new", "new"], 20))
+    new, mapping = I.incremental_ingest(state.known("hashes", batch), batch, with_text=False)
+    lines = _plan_lines(mapping)
+    assert _until_joined(lines) == 2 and not [x for x in lines if "/catalog" in x]
+    assert sorted(map(tuple, mapping.collect())) == [(20, 11, True), (21, 0, True), (22, 22, False), (23, 22, False)]
+    assert [r.file_id for r in new.collect()] == [22]
+    assert sorted(map(tuple, ST.read_state(spark, root, "mapping").collect())) == [(0, 0, False), (1, 1, False), (10, 1, True), (11, 11, False)]
 
 
 def test_postings_read_back_and_hot_tokens_in_slots(spark):
@@ -80,8 +104,8 @@ def test_postings_read_back_and_hot_tokens_in_slots(spark):
     base = scratch_path(spark, "hot-test")
     written = P.write_postings(tokens, corpus.count(), f"{base}/rows", f"{base}/hot", 8, hot_rows=5)
     again = P.read_postings(spark, f"{base}/rows", f"{base}/hot", 8)
-    assert written.rows.count() == tokens.count() == again.rows.count()
-    most = again.rows.groupBy("h").agg(F.countDistinct("slot").alias("n")).agg(F.max("n")).first()[0]
+    assert written.rows().count() == tokens.count() == again.rows().count()
+    most = again.rows().groupBy("h").agg(F.countDistinct("slot").alias("n")).agg(F.max("n")).first()[0]
     assert most > 5
     want = _pairs(S.cross_similar(probes, corpus, 0.3))
     assert _pairs(S.cross_similar(probes, corpus, 0.3, True, again, members)) == want and len(want) > 60
