@@ -1,4 +1,4 @@
-"""Similarity join: the original verdict table, Jaccard values, edge cases,
+"""Similarity join: verdicts on pairs of short texts, Jaccard values, edge cases,
 and equality with a brute-force all-pairs check on random small corpora."""
 
 from __future__ import annotations
