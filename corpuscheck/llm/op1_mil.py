@@ -4,9 +4,10 @@ A document is a bag of passages of ``PASSAGE_WORDS`` words. Every passage is
 encoded (byte classes, word statistics, signed hashed words, then one learned
 layer); gated attention weights, learned from document labels alone, give the
 weighted passage representation that is scored. Training uses a bounded
-labelled sample on the driver (its size is ``SAMPLE_ROWS``, long bags are
-trained on at most ``TRAIN_PASSAGES`` random passages); scoring encodes every
-passage of every whole text, with no shuffle.
+labelled sample on the driver (its size is ``SAMPLE_ROWS``) with all passages
+of each text in it; the mini-batches are cut by passages as well as documents,
+so a very long text is a step of its own. Scoring encodes every passage of
+every whole text, with no shuffle.
 
 Defined results: NULL and empty texts are a bag of one all-zero passage;
 repeated rows and ids get equal scores; without labelled rows every score is
@@ -15,6 +16,8 @@ repeated rows and ids get equal scores; without labelled rows every score is
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,11 +27,12 @@ from corpuscheck.llm.tables import fold, labelled_sample, narrow, per_span
 from corpuscheck.llm.words import U64, Chunk, chunks, hash_spans, split_words
 
 SAMPLE_ROWS = 4096
-TRAIN_PASSAGES = 64
 PASSAGE_WORDS = 64
 HASH_DIMS = 8
 HIDDEN, ATTENTION = 24, 12
 EPOCHS, BATCH, RATE = 30, 64, 0.01
+#: Passages of a training step that holds more than one document.
+STEP_PASSAGES = 4096
 THRESHOLD = 0.3
 FOLDS = 5
 
@@ -118,9 +122,7 @@ def train(x: np.ndarray, bag: np.ndarray, y: np.ndarray, seed: int = 3) -> Gated
     first = {k: np.zeros_like(v) for k, v in model.p.items()}
     second = {k: np.zeros_like(v) for k, v in model.p.items()}
     for epoch in range(EPOCHS):
-        order = rng.permutation(len(y))
-        for i in range(0, len(order), BATCH):
-            docs = order[i:i + BATCH]
+        for docs in steps(rng.permutation(len(y)), np.diff(bag)):
             rows = np.concatenate([np.arange(bag[d], bag[d + 1]) for d in docs])
             cut = np.concatenate([[0], np.cumsum(bag[docs + 1] - bag[docs])])
             step += 1
@@ -133,6 +135,16 @@ def train(x: np.ndarray, bag: np.ndarray, y: np.ndarray, seed: int = 3) -> Gated
     return model
 
 
+def steps(order: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
+    """Documents of one training step after another: ``BATCH`` of them, fewer if they have many passages."""
+    i = 0
+    while i < len(order):
+        passages = np.cumsum(size[order[i:i + BATCH]])
+        n = max(1, int(np.searchsorted(passages, STEP_PASSAGES, "right")))
+        yield order[i:i + n]
+        i += n
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, where=None, seed: int = 3) -> GatedAttention | None:
     """Model from at most ``rows`` labelled documents (``where`` filters the labels)."""
 
@@ -141,10 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, where=None,
             x, bag = encode(c)
             ids, q = c.column("doc_id"), c.column("quality")
             for i in range(len(c)):
-                part = x[bag[i]:bag[i + 1]]
-                if len(part) > TRAIN_PASSAGES:
-                    part = part[np.random.default_rng(int(ids[i]) & 0x7FFFFFFF).choice(len(part), TRAIN_PASSAGES, replace=False)]
-                yield pa.RecordBatch.from_pydict({"doc_id": [ids[i]], "quality": [q[i]], "x": [part.astype(np.float32).tobytes()]})
+                yield pa.RecordBatch.from_pydict({"doc_id": [ids[i]], "quality": [q[i]], "x": [x[bag[i]:bag[i + 1]].tobytes()]})
 
     got = (labelled_sample(docs, labels, rows, where).mapInArrow(run, "doc_id long, quality int, x binary")
            .toPandas().sort_values(["doc_id", "x"]))

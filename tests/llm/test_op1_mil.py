@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -56,6 +57,43 @@ def test_gradients_match_differences():
         assert abs((up - down) / 2e-6 - g.reshape(-1)[k]) < 1e-5
 
 
+def test_forward_pass_equals_the_definition():
+    rng = np.random.default_rng(9)
+    x, bag = rng.standard_normal((9, M.N_FEATURES)), np.array([0, 1, 6, 9])
+    model = M.GatedAttention(rng.standard_normal(M.N_FEATURES), rng.uniform(0.5, 2, M.N_FEATURES))
+    p = model.p
+    for i in range(3):
+        hidden, weight = [], []
+        for passage in x[bag[i]:bag[i + 1]]:
+            h = [max(0.0, sum((passage[f] - model.mean[f]) / model.scale[f] * p["W"][f, k] for f in range(len(passage))) + p["b"][k])
+                 for k in range(M.HIDDEN)]
+            gate = 0.0
+            for k in range(M.ATTENTION):
+                t = math.tanh(sum(h[j] * p["V"][j, k] for j in range(M.HIDDEN)))
+                s = 1 / (1 + math.exp(-sum(h[j] * p["U"][j, k] for j in range(M.HIDDEN))))
+                gate += p["w"][k] * t * s
+            hidden.append(h)
+            weight.append(math.exp(gate))
+        z = sum(w / sum(weight) * h[k] * p["c"][k] for w, h in zip(weight, hidden) for k in range(M.HIDDEN)) + p["d"][0]
+        assert abs(model.score(x, bag)[i] - 1 / (1 + math.exp(-z))) < 1e-9
+
+
+def test_training_takes_every_passage_of_every_sampled_text(spark, monkeypatch):
+    docs, labels = _labelled(30)
+    docs.append((100, " ".join(f"long{i}" for i in range(M.PASSAGE_WORDS * 500))))
+    labels.append((100, 1))
+    seen = {}
+    monkeypatch.setattr(M, "train", lambda x, bag, y, seed: seen.update(x=x, bag=bag, y=y))
+    M.fit(frame(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert sorted(np.diff(seen["bag"])) == sorted(-(-len(t.split()) // M.PASSAGE_WORDS) for _, t in docs)
+    # every document is in one step of an epoch, the long one with few others
+    sizes = np.diff(seen["bag"])
+    monkeypatch.setattr(M, "STEP_PASSAGES", 300)
+    parts = list(M.steps(np.random.default_rng(1).permutation(len(sizes)), sizes))
+    assert sorted(np.concatenate(parts).tolist()) == list(range(len(sizes)))
+    assert all(len(p) == 1 or sizes[p].sum() <= 300 for p in parts)
+
+
 def test_held_out_accuracy_and_edges(spark, tmp_path):
     docs, labels = _labelled()
     docs += [(1000 + k, t) for k, (_, t) in enumerate(corpus(n=10))] + [(None, "a b"), (5, docs[5][1])]
