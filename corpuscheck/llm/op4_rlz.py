@@ -1,24 +1,29 @@
-"""Substring dedup by anchored block hashing, in place of relative Lempel-Ziv parsing.
-
-The reference is the corpus itself, cut into blocks of 20 consecutive words.
-Every block is indexed under its anchor: the smallest hash among the 8-word
-grams inside it, frequent grams last. Equal blocks have equal anchors, so an
-index partition (a range of anchors) sees all occurrences of its blocks and
-knows the earliest. Frequent grams (a table of bounded size, from a pass of
-their own over all documents) anchor only blocks that have nothing else, so
-the many different surroundings of a common passage are spread by their own
-words.
-No document is parsed into factors with a source position: a document's
-neighbouring blocks that occur earlier (under a smaller doc_id, or earlier in
-the same document) are joined, whichever sources they have. Each block is looked up by itself, also
-those that straddle the boundary of two factors, so a document's duplicate
-spans are exactly the words under blocks that occur earlier.
+"""Substring dedup by relative Lempel-Ziv parsing against the corpus itself.
+
+The reference is the corpus, cut into blocks of 20 consecutive words at every
+word. Every block is indexed under its anchor: the smallest hash among the
+8-word grams inside it, frequent grams last. Equal blocks have equal anchors,
+so an index partition (a range of anchors) sees all occurrences of its blocks
+and answers each later one with a place where it stands earlier (under a
+smaller doc_id, or earlier in the same document). Frequent grams (a table of
+bounded size, from a pass of their own over all documents) anchor only blocks
+that have nothing else, so the many different surroundings of a common passage
+are spread by their own words.
+
+A document is parsed from left to right: at a word whose block has a source
+the factor ``(start, words, source, source start)`` goes on as long as the next
+block's source is the next place of the same document; other words are
+literals, and the parse resumes behind a factor. So every factor has 20 words
+at least and is a copy of its source. Blocks that begin inside a factor and end
+behind it are checked at that boundary: those with a source of their own are
+duplicates too. A document's duplicate spans are its factors and these blocks.
 
 Plan: one pass hashes the words of each chunk, folds runs of blocks that
 occur in the chunk already (only the earliest travels; a passage that a third
 of all documents share costs one record for each chunk), and sends packed runs
-by anchor; the index partition answers with the spans of later occurrences;
-the spans meet the documents again by id.
+by anchor; the index partition answers with the later occurrences and their
+sources, neighbours with neighbouring sources as one piece; the pieces meet the
+documents again by id, and each document is parsed by itself.
 
 Defined results: NULL, empty and blank texts have no words and the hash of the
 empty string; texts under 20 words lose nothing; rows with the same id are
@@ -31,9 +36,11 @@ bits.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +57,7 @@ RECURS = 16
 FREQUENT, FREQUENT_LEAST = 200_000, 64
 _NO_ID = -(1 << 63)
 
-RUNS, SPANS = 0, 1
+RUNS, PIECES = 0, 1
 
 
 def _anchors(h: np.ndarray, k: int, block: int, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -127,8 +134,12 @@ def _send(chunk: Chunk, number: int, buckets: int, block: int, frequent: np.ndar
     later = np.zeros(len(order), bool)
     later[order] = (ids[doc[order]] != ids[doc[leader]]) | (pos[order] != pos[leader])
     if later.any():
-        yield number % buckets, number, SPANS, blobs.pack(ids[doc[later]], fps[doc[later]], pos[later].astype(np.uint32),
-                                                          size[later].astype(np.uint32))
+        # an equal run that is later than its leader is copied from it as a whole
+        of = np.empty(len(order), np.int64)
+        of[order] = leader
+        of = of[later]
+        yield number % buckets, number, PIECES, blobs.pack(ids[doc[later]], fps[doc[later]], pos[later].astype(np.uint32), size[later].astype(np.uint32),
+                                                           ids[doc[of]], fps[doc[of]].astype(np.int32), pos[of].astype(np.uint32))
     left = np.flatnonzero(~later)
     left = left[np.argsort(anchor[left], kind="stable")]
     spread = mix(anchor[left]) >> U64(32)
@@ -148,21 +159,22 @@ def _send(chunk: Chunk, number: int, buckets: int, block: int, frequent: np.ndar
                                           n.astype(np.uint8), (w >> U64(32)).astype(np.uint32), (w >> U64(24)).astype(np.uint8))
 
 
-_SPAN = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("start", pa.int32()), ("blocks", pa.int32())])
-_SPAN_DDL = "doc_id long, fp long, start int, blocks int"
+#: ``blocks`` neighbouring blocks from ``start`` on stand earlier, from ``source_start`` of the row ``(source_id, source_fp)`` on.
+_PIECE = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("start", pa.int32()), ("blocks", pa.int32()),
+                    ("source_id", pa.int64()), ("source_fp", pa.int32()), ("source_start", pa.int32())])
+_PIECE_DDL = "doc_id long, fp long, start int, blocks int, source_id long, source_fp int, source_start int"
 
 
-def _span_batch(ids, fps, start, blocks) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(fps, pa.int64()), pa.array(start.astype(np.int32)),
-                                       pa.array(blocks.astype(np.int32))], schema=_SPAN)
+def _piece_batch(*columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(f.type.to_pandas_dtype())) for c, f in zip(columns, _PIECE)], schema=_PIECE)
 
 
 def _lookup(bucket: int, rows: list):
-    """Spans of the blocks of one anchor range that occur earlier elsewhere."""
+    """Pieces of the blocks of one anchor range that occur earlier elsewhere, with their sources."""
     parts, base = [], 0
     for _, _, kind, payload in rows:
-        if kind == SPANS:
-            yield _span_batch(*blobs.unpack(payload))
+        if kind == PIECES:
+            yield _piece_batch(*blobs.unpack(payload))
         else:
             ids, fps, anchor, local, pos, n, high, low = blobs.unpack(payload)
             parts.append((ids, fps, anchor, local.astype(np.int64) + base, pos, n, (high.astype(U64) << U64(8)) | low.astype(U64)))
@@ -187,21 +199,24 @@ def _lookup(bucket: int, rows: list):
     lead[1:] = key[1:] != key[:-1]
     leader = np.maximum.accumulate(np.where(lead, np.arange(len(key)), 0))
     later = (ids[doc] != ids[doc[leader]]) | (pos != pos[leader])
+    source, source_pos = doc[leader][later], pos[leader][later]
     doc, pos = doc[later], pos[later]
     if not len(doc):
         return
     order = np.lexsort((pos, doc))
-    doc, pos = doc[order], pos[order]
+    doc, pos, source, source_pos = doc[order], pos[order], source[order], source_pos[order]
     head = np.ones(len(doc), bool)
-    head[1:] = (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1] + 1)
+    head[1:] = (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1] + 1) | (source[1:] != source[:-1]) | (source_pos[1:] != source_pos[:-1] + 1)
     begin = np.flatnonzero(head)
-    yield _span_batch(ids[doc[begin]], fps[doc[begin]], pos[begin], np.diff(np.append(begin, len(doc))))
+    yield _piece_batch(ids[doc[begin]], fps[doc[begin]], pos[begin], np.diff(np.append(begin, len(doc))),
+                       ids[source[begin]], fps[source[begin]].astype(np.int32), source_pos[begin])
 
 
-def factors(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
-    """Pieces of factors: ``(doc_id, fp, start, blocks)``, words ``start`` to ``start + blocks + block - 2``.
+def matches(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
+    """Pieces ``(doc_id, fp, start, blocks, source_id, source_fp, source_start)`` of neighbouring blocks with a source.
 
-    ``docs`` has ``(doc_id, fp, text)``; ``fp`` tells rows of one id apart.
+    ``docs`` has ``(doc_id, fp, text)``; ``fp`` tells rows of one id apart. A
+    NULL id is the smallest number here.
     """
     partitions = blobs.text_partitions(docs)
     buckets = 2 * partitions
@@ -212,30 +227,96 @@ def factors(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
         for number, c in zip(blobs.chunk_numbers(), chunks(bs)):
             yield from blobs.batches(_send(c, number, buckets, block, frequent))
 
-    return blobs.reduce_buckets(docs.mapInArrow(send, blobs.SCHEMA), partitions, _lookup, _SPAN_DDL)
+    return blobs.reduce_buckets(docs.mapInArrow(send, blobs.SCHEMA), partitions, _lookup, _PIECE_DDL)
+
+
+def parse(start: np.ndarray, blocks: np.ndarray, source_id: np.ndarray, source_fp: np.ndarray, source_start: np.ndarray,
+          block: int = BLOCK_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Greedy factors of one document from its pieces, and the blocks at their boundaries.
+
+    Factors are rows ``(start, words, source id, source start)`` in order,
+    without overlap; the second array has the first words of the blocks that
+    reach over the end of a factor and have a source.
+    """
+    # every block with a source, once (rows that repeat an id and a text answer alike)
+    step = np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    pos = np.repeat(start.astype(np.int64), blocks) + step
+    of = np.repeat(np.arange(len(start)), blocks)
+    at = source_start.astype(np.int64)[of] + step
+    order = np.lexsort((at, source_fp[of], source_id[of], pos))
+    order = order[np.concatenate([[True], np.diff(pos[order]) > 0])] if len(order) else order
+    pos, of, at = pos[order], of[order], at[order]
+    goes_on = ((np.diff(pos) == 1) & (np.diff(at) == 1) & (source_id[of[1:]] == source_id[of[:-1]]) & (source_fp[of[1:]] == source_fp[of[:-1]]))
+    stops = np.append(np.flatnonzero(~goes_on), len(pos) - 1)
+    found, over = [], [np.zeros(0, np.int64)]
+    i = 0
+    while i < len(pos):
+        last = int(stops[np.searchsorted(stops, i)])
+        end = int(pos[last]) + block
+        found.append((pos[i], end - pos[i], source_id[of[i]], at[i]))
+        i = int(np.searchsorted(pos, end))
+        over.append(pos[last + 1:i])
+    return np.array(found, np.int64).reshape(len(found), 4), np.concatenate(over)
+
+
+_PARTS = ("start", "blocks", "source_id", "source_fp", "source_start")
+
+
+def _pieces_by_row(docs: DataFrame, block: int) -> DataFrame:
+    return matches(docs, block).groupBy("doc_id", "fp").agg(F.collect_list(F.struct(*_PARTS)).alias("pieces"))
+
+
+def _pieces(column: pa.Array) -> Iterator[list[np.ndarray]]:
+    """The pieces of one row after another, as arrays; rows without any have empty ones."""
+    flat = column.flatten()
+    arrays = [pc.struct_field(flat, [k]).to_numpy() for k in range(len(_PARTS))]
+    at = np.concatenate([[0], np.cumsum(pc.list_value_length(column).fill_null(0).to_numpy())])
+    for i, j in zip(at[:-1], at[1:]):
+        yield [a[i:j] for a in arrays]
+
+
+def _with_fp(docs: DataFrame) -> DataFrame:
+    return narrow(docs).withColumn("fp", F.xxhash64(F.coalesce("text", F.lit(""))))
+
+
+def factors(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
+    """``(doc_id, start, words, source_id, source_start)``: the factors of every document, in words from 0.
+
+    Documents without factors have no row, those with one id and one text have theirs once.
+    """
+
+    def run(bs):
+        for b in bs:
+            out = [parse(*p, block)[0] for p in _pieces(b.column("pieces"))]
+            rows = np.concatenate(out) if out else np.zeros((0, 4), np.int64)
+            ids = np.repeat(b.column("doc_id").to_numpy(), [len(x) for x in out])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, mask=ids == _NO_ID), pa.array(rows[:, 0]), pa.array(rows[:, 1]),
+                                              pa.array(rows[:, 2], mask=rows[:, 2] == _NO_ID), pa.array(rows[:, 3])],
+                                             names=["doc_id", "start", "words", "source_id", "source_start"])
+
+    return _pieces_by_row(_with_fp(docs), block).mapInArrow(run, "doc_id long, start long, words long, source_id long, source_start long")
 
 
 def remove_duplicates(docs: DataFrame, block: int = BLOCK_WORDS, texts: bool = False) -> DataFrame:
-    """``(doc_id, n_words, n_removed, kept_sha256)`` of every document; ``texts`` adds ``kept_text``."""
-    docs = narrow(docs).withColumn("fp", F.xxhash64(F.coalesce("text", F.lit(""))))
-    spans = (factors(docs, block).groupBy("doc_id", "fp")
-             .agg(F.collect_list((F.col("start").cast("long") * F.lit(1 << 32)) + F.col("blocks")).alias("spans")))
+    """``(doc_id, n_words, n_removed, kept_sha256, n_factors)`` of every document; ``texts`` adds ``kept_text``."""
+    docs = _with_fp(docs)
+    pieces = _pieces_by_row(docs, block).withColumnRenamed("doc_id", "row_id")
     joined = (docs.withColumn("row_id", F.coalesce("doc_id", F.lit(_NO_ID)))
-              .join(spans.withColumnRenamed("doc_id", "row_id"), ["row_id", "fp"], "left").select("doc_id", "text", "spans"))
-    names = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept_text"] * texts
+              .join(pieces, ["row_id", "fp"], "left").select("doc_id", "text", "pieces"))
+    names = ["doc_id", "n_words", "n_removed", "kept_sha256", "n_factors"] + ["kept_text"] * texts
 
     def run(bs):
         for b in bs:
-            n, gone, digest, kept = [], [], [], []
-            spans_of = b.column("spans")
-            for i, text in enumerate(b.column("text")):
+            n, gone, digest, count, kept = [], [], [], [], []
+            for text, mine in zip(b.column("text"), _pieces(b.column("pieces"))):
                 words = (text.as_py() or "").encode().split()
                 n.append(len(words))
-                if spans_of[i].is_valid and len(words):
-                    s = np.array(spans_of[i].as_py(), np.int64)
+                found, over = parse(*mine, block)
+                count.append(len(found))
+                if len(found):
                     cover = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(cover, s >> 32, 1)
-                    np.add.at(cover, (s >> 32) + (s & 0xFFFFFFFF) + block - 1, -1)
+                    np.add.at(cover, np.concatenate([found[:, 0], over]), 1)
+                    np.add.at(cover, np.concatenate([found[:, 0] + found[:, 1], over + block]), -1)
                     keep = np.cumsum(cover)[:-1] == 0
                     words = [words[j] for j in np.flatnonzero(keep)]
                 gone.append(n[-1] - len(words))
@@ -243,17 +324,17 @@ def remove_duplicates(docs: DataFrame, block: int = BLOCK_WORDS, texts: bool = F
                 digest.append(hashlib.sha256(out).hexdigest())
                 if texts:
                     kept.append(out.decode())
-            cols = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(digest, pa.string())]
+            cols = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(digest, pa.string()), pa.array(count, pa.int64())]
             yield pa.RecordBatch.from_arrays(cols + [pa.array(kept, pa.string())] * texts, names=names)
 
-    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * texts)
+    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string, n_factors long" + ", kept_text string" * texts)
 
 
 def op4_rlz_dedup(spark, sf_dir: str) -> DataFrame:
     """Duplicate words of every document of ``documents``."""
     from corpuscheck.llm.tables import read
 
-    return remove_duplicates(read(spark, sf_dir, "documents"))
+    return remove_duplicates(read(spark, sf_dir, "documents")).drop("n_factors")
 
 
 SQL = """
