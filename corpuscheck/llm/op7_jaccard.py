@@ -246,6 +246,22 @@ def _verify(pairs: DataFrame, reps: DataFrame) -> DataFrame:
             .mapInArrow(run, "a long, b long"))
 
 
+def _across(tagged: DataFrame) -> DataFrame:
+    """Meetings ``(tok, a, b)`` in the prefix lists of sets from different components that can be links.
+
+    The smaller set of a link shares ``ceil(2 t / (1 + t) n)`` of its tokens at
+    least, so its first common one stands in a shorter index prefix; only that
+    part of a list is met. Tokens behind it, such as those of a text that makes
+    up most of many documents, bring no two sets together.
+    """
+    least = F.expr(f"pos <= n - ceil(n * {2 * PERCENT} / {100 + PERCENT})")
+    x, y = tagged.alias("x"), tagged.filter(least).alias("y")
+    needs = f"ceil((x.n + y.n) * {PERCENT} / {100 + PERCENT})"
+    return (x.join(y, F.expr("x.tok = y.tok and (x.n > y.n or x.n = y.n and x.doc > y.doc) and x.c <> y.c "
+                             f"and 100 * y.n >= {PERCENT} * x.n and least(x.n - x.pos, y.n - y.pos) >= {needs}"))
+            .select(F.col("x.tok").alias("tok"), F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")))
+
+
 def links(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(representatives of equal sets, components of their links)."""
     live = sets.filter(F.col("tokens").isNotNull())
@@ -270,12 +286,8 @@ def links(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
               .select("tok", "doc", "n", "pos", F.coalesce("component", "doc").alias("c")))
     open_lists = tagged.groupBy("tok").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("tok")
     tagged = materialize(tagged.join(open_lists, "tok", "left_semi"), "jaccard-open")
-    x, y = tagged.alias("x"), tagged.alias("y")
-    needs = "ceil((x.n + y.n) * {0} / {1})".format(PERCENT, 100 + PERCENT)
-    across = (x.join(y, F.expr("x.tok = y.tok and x.doc < y.doc and x.c <> y.c and 100 * least(x.n, y.n) >= {0} * greatest(x.n, y.n) "
-                               "and least(x.n - x.pos, y.n - y.pos) >= {1}".format(PERCENT, needs)))
-              .select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct())
-    second = materialize(_verify(across.join(first, ["a", "b"], "left_anti"), reps), "jaccard-rest")
+    # the links found so far lie inside components, so none of them comes back
+    second = materialize(_verify(_across(tagged).select("a", "b").distinct(), reps), "jaccard-rest")
     final = connected_components(first.unionAll(second))
     return classes, final
 

@@ -103,3 +103,24 @@ def test_components_of_random_graphs(spark):
     got = {r.node: r.component for r in connected_components(df).collect()}
     assert got == {x: find(x) for x in linked}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_common_text_under_the_threshold_makes_no_meetings(spark, monkeypatch):
+    """Four fifths of every document are the same text: no two are links, and none meet but the planted near copies."""
+    rng = random.Random(4)
+    common, docs, want = words(rng, 84), [], {}
+    for i in range(2000):
+        own = [f"o{i}x{k}" for k in range(20)]
+        want[i] = i
+        if i % 100 == 7:
+            # a copy of the document before with one of its own words changed
+            own = [f"o{i - 1}x{k}" for k in range(19)] + ["changed"]
+            want[i] = i - 1
+        docs.append((i, " ".join(common + own)))
+    met = []
+    across = J._across
+    monkeypatch.setattr(J, "_across", lambda tagged: (met.append(across(tagged).count()), across(tagged))[1])
+    got = {r.doc_id: r.component_id for r in J.jaccard_components(frame(spark, docs).repartition(4)).collect()}
+    assert got == want
+    # all pairs of the common tokens in the prefixes would be over ten million
+    assert sum(met) < len(docs)
