@@ -37,6 +37,9 @@ DEFAULT_NGRAM_SIZE = 3
 DEFAULT_THRESHOLD = 0.3
 # ---------------------------------------------------------------------------
 
+# Up to this size an n-gram is put together from its words, without a slice of the list.
+MAX_NAMED_WORDS = 8
+
 # The 25 Unicode White_Space code points, as a Java regex character class.
 # Java's \s is ASCII-only, so the class is spelled out.
 WS_CHARS = (r"\t\n\x0B\f\r \x85\xA0\u1680\u2000-\u200A"
@@ -46,7 +49,8 @@ NON_WS_RUN = f"[^{WS_CHARS}]+"
 NON_WS_CHAR = f"[^{WS_CHARS}]"
 # Narrower class used by the whitespace-collapse helper (RE2-style \s).
 ASCII_SPACE_RUN = r"[\t\n\f\r ]+"
-PUNCT_CHAR = r"\p{P}"
+# What separates significant words: blanks, and punctuation, which counts as a blank.
+BREAK_RUN = rf"[{WS_CHARS}\p{{P}}]+"
 
 
 def _col(c: Column | str) -> Column:
@@ -108,15 +112,15 @@ def lower_per_codepoint(c: Column | str) -> Column:
     I to ``i`` + combining dot; a per-code-point mapping gives plain sigma and
     plain ``i``. Mapping those two first gives the per-code-point answer.
     """
-    return F.lower(F.translate(_col(c), "İΣ", "iσ"))
+    # two byte searches, where ``translate`` would look at every character
+    return F.lower(F.replace(F.replace(_col(c), F.lit("İ"), F.lit("i")), F.lit("Σ"), F.lit("σ")))
 
 
 def significant_words(c: Column | str,
                       stop_words: Iterable[str] = DEFAULT_STOP_WORDS) -> Column:
-    """Lower-cased words with punctuation replaced by spaces, stop words out."""
+    """Lower-cased words with punctuation as blanks, stop words out."""
     stops = list(dict.fromkeys(stop_words))
-    depunct = F.regexp_replace(lower_per_codepoint(decoded(c)), PUNCT_CHAR, " ")
-    words = F.split(depunct, WS_RUN, -1)
+    words = F.split(lower_per_codepoint(decoded(c)), BREAK_RUN, -1)
     if stops:
         return F.filter(words, lambda w: (w != "") & ~w.isin(stops))
     return F.filter(words, lambda w: w != "")
@@ -130,22 +134,15 @@ def ngrams(words: Column | str, n: int = DEFAULT_NGRAM_SIZE) -> Column:
     """
     check_ngram_size(n)
     w = _col(words)
-    grams = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)),
-                        lambda i: F.array_join(F.slice(w, i, n), " "))
+    if n <= MAX_NAMED_WORDS:
+        grams = F.transform(F.sequence(F.lit(0), F.size(w) - n),
+                            lambda i: F.concat_ws(" ", *[F.get(w, i + k) for k in range(n)]))
+    else:
+        grams = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)),
+                            lambda i: F.array_join(F.slice(w, i, n), " "))
     return F.when(F.size(w) >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
-def ngram_set(norm: Column | str, n: Column | str) -> Column:
-    """Distinct n-grams of a normalised text, with ``n`` a column.
-
-    Words hold no blank, so a split of the joined text gives them back."""
-    words = F.when(_col(norm) == "", F.array().cast("array<string>")).otherwise(F.split(_col(norm), " "))
-    return F.transform(F.array(words), lambda w: F.when(
-        F.size(w) >= _col(n), F.array_distinct(F.transform(
-            F.sequence(F.lit(1), F.size(w) - _col(n) + 1), lambda i: F.array_join(F.slice(w, i, _col(n)), " "))),
-    ).otherwise(F.array().cast("array<string>")))[0]
-
-
 def whitespace_collapsed(c: Column | str) -> Column:
     """Runs of ASCII blanks become one space; ends are not trimmed."""
     return F.regexp_replace(_col(c), ASCII_SPACE_RUN, " ")

@@ -95,3 +95,18 @@ def test_cyrillic_case_and_quote_punctuation(spark):
     text = "«Привет» — МИР! привет-мир"
     assert _one(spark, text, T.significant_words) == ["привет", "мир", "привет", "мир"]
     assert _one(spark, text, T.word_count) == 4
+
+
+def test_words_are_cut_in_one_pass(spark):
+    """Punctuation and blanks are one separator: the words are those of the two-step form."""
+    texts = ["", " ", "...", "It's A-b.c d—e «f» ΣΑΣ İx", "a\x85b\x0bc,,  d!", "　x_y z#$%q"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    two = F.split(F.regexp_replace(F.lower(F.translate("text", "İΣ", "iσ")), r"\p{P}", " "), T.WS_RUN, -1)
+    stops = list(T.DEFAULT_STOP_WORDS)
+    for got, want in df.select(T.significant_words("text"), F.filter(two, lambda w: (w != "") & ~w.isin(stops))).collect():
+        assert got == want
+    plan = df.select(T.significant_words("text"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(" not in plan and plan.count("split(") == 1
+    for n in (1, 2, 3, 9):
+        for w, g in df.select(T.tokens("text").alias("w")).select("w", T.ngrams("w", n)).collect():
+            assert g == [" ".join(w[i:i + n]) for i in range(len(w) - n + 1)]
