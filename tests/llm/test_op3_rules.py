@@ -108,3 +108,42 @@ def test_bad_rows_in_the_majority():
     good = np.arange(400) >= 250
     model = R.grow_forest(x, good.astype(int), np.zeros(400, bool))
     assert (model.anomaly(x[~good]) > 0).mean() > 0.95 and (model.anomaly(x[good]) > 0).mean() <= 0.01
+
+
+def _labelled(spark, n, bad_every):
+    rng = random.Random(11)
+    docs = []
+    for i in range(n):
+        t = prose(rng, 60)
+        docs.append((i, " ".join(w + "%%" for w in t.split()) if i % bad_every == 0 else t))
+    labels = spark.createDataFrame([(i, 0 if i % bad_every == 0 else 1) for i in range(n)], "doc_id long, quality int")
+    return frame(spark, docs), labels
+
+
+def test_every_labelled_row_counts(spark, monkeypatch):
+    """More labelled rows than the sample once held: each is in the counts that the thresholds come from."""
+    df, labels = _labelled(spark, 8400, 5)
+    seen = []
+    calibrate = R._calibrate
+    monkeypatch.setattr(R, "_calibrate", lambda f, good, bad, share: (seen.append((f, good, bad)), calibrate(f, good, bad, share))[1])
+    model = R.fit(df, labels)
+    (forest, good, bad), = seen
+    rows = R._labelled_features(df, labels).toPandas()
+    x, is_good = np.stack(rows["x"]), rows["good"].to_numpy(bool)
+    assert len(rows) > 8192 and len(model.cuts) == len(R.FEATURES) == x.shape[1] and model.rows == R.TREE_ROWS
+    for k in range(x.shape[1]):
+        assert (good[k].sum(), bad[k].sum()) == (is_good.sum(), (~is_good).sum())
+    score = model.scores(x)
+    top = np.quantile(score[is_good], 1 - R.MAX_GOOD_REJECTS / x.shape[1], axis=0, method="higher")
+    for k in range(x.shape[1]):
+        over = score[~is_good, k][score[~is_good, k] > top[k]]
+        top[k] += 0.1 * (np.median(over) - top[k]) if len(over) else 0
+    assert np.allclose(model.thresholds, top)
+    assert (model.anomaly(x[~is_good]) > 0).all() and (model.anomaly(x[is_good]) > 0).mean() <= R.MAX_GOOD_REJECTS
+
+
+def test_fit_does_not_depend_on_partitions(spark):
+    df, labels = _labelled(spark, 300, 12)
+    a, b = R.fit(df.repartition(1), labels), R.fit(df.repartition(5), labels.repartition(3))
+    assert all(np.array_equal(p, q) for p, q in zip(a.cuts + a.paths, b.cuts + b.paths, strict=True))
+    assert np.array_equal(a.thresholds, b.thresholds)
