@@ -258,3 +258,52 @@ def test_boilerplate_makes_few_candidates(spark):
     finally:
         S.materialize = original
     assert got == 0 and seen[0] < 1000
+
+
+def _without_broadcast(spark, run):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        return run()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def test_near_copies_meet_once_for_each_run_of_common_tokens(spark):
+    """30 copies that differ in one word share about 90 of 100 trigrams; a pair met at most of them before."""
+    rnd = random.Random(3)
+    words = [f"w{rnd.randrange(10**9)}" for _ in range(100)]
+    docs = [(i, " ".join(words[:i + 20] + [f"copy{i}"] + words[i + 21:])) for i in range(30)]
+    gs = S.gram_sets(spark.createDataFrame(docs, "file_id long, text string"), 3, persist=False)
+    pre = S._shared_prefix(S._shared_tokens(S._tokens(gs)), 0.3).cache()
+    pairs = {(r.a, r.b) for r in S.candidate_pairs(gs, 0.3).collect()}
+    assert pairs == {(a, b) for a in range(30) for b in range(a + 1, 30)}
+    met = [(r.a, r.b) for r in S._meetings(pre, 0.3).collect()]
+    assert set(met) == pairs and len(met) < 10 * len(pairs)
+    pre.unpersist()
+
+
+def test_prefix_join_shuffles_neither_side(spark):
+    docs = [(i, f"grey herons nest along the lower weir {i % 7} each spring {i}") for i in range(60)]
+    gs = S.gram_sets(spark.createDataFrame(docs, "file_id long, text string"), 3, persist=False)
+    plan = _without_broadcast(spark, lambda: S.candidate_pairs(gs, 0.3)._jdf.queryExecution().executedPlan().toString())
+    assert "SortMergeJoin" in plan and "hashpartitioning(h#" not in plan
+
+
+def test_repeated_ids_keep_their_links(spark):
+    """Rows that share an id are ranked together; a token of the other row hides no meeting."""
+    rnd = random.Random(5)
+    words = [f"w{k}" for k in range(25)]
+    docs = [(rnd.randrange(12), " ".join(rnd.choice(words) for _ in range(rnd.randrange(2, 30)))) for _ in range(40)]
+    gs = S.gram_sets(spark.createDataFrame(docs, "file_id long, text string"), 1, persist=False)
+    # every meeting, also those within a run
+    pre = S._shared_prefix(S._shared_tokens(S._tokens(gs)), 0.3).cache()
+    every = {(r.a, r.b) for r in S._meetings(pre.withColumn("prev", F.lit(None).cast("long")), 0.3).collect()}
+    assert {(r.a, r.b) for r in S._meetings(pre, 0.3).collect()} == every
+    pre.unpersist()
