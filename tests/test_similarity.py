@@ -307,3 +307,39 @@ def test_repeated_ids_keep_their_links(spark):
     every = {(r.a, r.b) for r in S._meetings(pre.withColumn("prev", F.lit(None).cast("long")), 0.3).collect()}
     assert {(r.a, r.b) for r in S._meetings(pre, 0.3).collect()} == every
     pre.unpersist()
+
+
+def test_written_gram_sets_leave_out_the_tokens(spark):
+    docs = [(1, "One two three four five"), (2, "of the"), (3, ""), (4, None), (5, "a b b b b b b"), (6, "x-ray x.ray X ray x ray x ray")]
+    docs = spark.createDataFrame(docs, "file_id long, text string")
+    for n in (1, 3, 9):
+        kept, lazy = S.gram_sets(docs, n), S.gram_sets(docs, n, persist=False)
+        assert kept.columns == lazy.columns
+        assert "tokens" not in spark.read.parquet(*kept.inputFiles()).columns
+        rows = lambda gs: sorted((r.id, r.norm_hash, r.n_grams, sorted(r.tokens), r.norm) for r in gs.collect())
+        assert [tuple(map(str, r)) for r in rows(kept)] == [tuple(map(str, r)) for r in rows(lazy)]
+
+
+def test_partitions_of_the_self_join_follow_the_tokens(spark, monkeypatch):
+    docs = [(i, f"grey herons nest along the lower weir {i % 7} each spring {i}") for i in range(60)]
+    gs = S.gram_sets(spark.createDataFrame(docs, "file_id long, text string"), 3)
+    want = {(r.a, r.b) for r in S.candidate_pairs(gs, 0.3).collect()}
+    monkeypatch.setattr(S, "PARTITION_TOKENS", 20)
+    seen, original = [], S.write_bucketed
+
+    def spy(df, path, key, buckets):
+        seen.append(buckets)
+        return original(df, path, key, buckets)
+
+    monkeypatch.setattr(S, "write_bucketed", spy)
+    assert {(r.a, r.b) for r in S.candidate_pairs(gs, 0.3).collect()} == want and want
+    assert seen == [-(-gs.agg(F.sum("n_grams")).first()[0] // 20)] and seen[0] > 20
+
+
+def test_texts_without_a_pair_are_not_shuffled(spark):
+    """The verification's text side is a broadcast semi join before any exchange of the texts."""
+    docs = [(i, f"w{i} x{i} y{i} z{i} q{i}" if i > 3 else f"grey herons nest along lower weir {i}") for i in range(60)]
+    gs = S.gram_sets(spark.createDataFrame(docs, "file_id long, text string"), 3)
+    out = S.class_links(gs, 0.3)
+    assert out.count() == 6
+    assert "LeftSemi" in out._jdf.queryExecution().optimizedPlan().toString()
