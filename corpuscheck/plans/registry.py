@@ -267,7 +267,8 @@ def q_upsert_results(spark, sf):
 def q_insert_ignore_similar(spark, sf):
     """Base: the edges up to the midpoint, and all edges the other way round;
     new: every edge."""
-    edges = RP.report_edges(_catalog(spark, sf))
+    # read four times below
+    edges = materialize(RP.report_edges(_catalog(spark, sf)), "edges")
     back = edges.select(F.col("similar_file_id").alias("file_id"), F.col("file_id").alias("similar_file_id"))
     base = edges.filter(F.col("file_id") < _midpoint_id(spark, sf)).unionByName(back)
     return R.insert_ignore_similar(base, edges)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from corpuscheck.operators import ingest as I
 from corpuscheck.operators import results as R
 from corpuscheck.plans import report as RP
+from corpuscheck.plans.registry import QUERIES
 from corpuscheck.session import scratch_path
 from corpuscheck.streaming import stream as ST
 
@@ -102,6 +103,23 @@ def test_result_tables(spark):
     assert sorted(r.file_id for r in R.analyzed_ids(base).collect()) == [1, 2]
 
 
+def test_upserts_expand_the_links_once(spark, tmp_dir):
+    """Base and new rows come from a written report (or its edges), not each from the classes and links."""
+    (spark.createDataFrame([(i, "web", t) for i, t in TEXTS], "doc_id long, source string, text string")
+     .write.parquet(os.path.join(tmp_dir, "documents.parquet")))
+    results = QUERIES["upsert_results"](spark, tmp_dir)
+    rows = _as_dict(results)
+    words = _as_dict(RP.document_report(_catalog(spark)))
+    # ids from 4 on are replaced
+    assert {i: r.is_plagiarism for i, r in rows.items()} == {1: True, 3: False, 4: False, 5: True, 6: False, 7: True}
+    assert {i: r.word_count - words[i].word_count for i, r in rows.items()} == {1: 1000, 3: 1000, 4: 0, 5: 0, 6: 0, 7: 0}
+    edges = QUERIES["insert_ignore_similar"](spark, tmp_dir)
+    forth = [(3, 1), (5, 1), (5, 3), (7, 6)]
+    assert sorted((r.file_id, r.similar_file_id) for r in edges.collect()) == sorted(forth + [(b, a) for a, b in forth])
+    for out in (results, edges):
+        assert not [f for f in out.inputFiles() if "class-" in f]
+
+
 def test_stream_two_batches_equal_batch_and_replay_changes_nothing(spark):
     ups = spark.createDataFrame([(i, f"f{i}.txt", t) for i, t in TEXTS], "upload_id long, name string, text string")
     root = ST.run_arrivals(ups, scratch_path(spark, "stream-test"), 2)
