@@ -59,6 +59,8 @@ from corpuscheck.session import materialize, scratch_path
 EPS = 1e-9
 #: Token rows that a partition of the self-join sorts at most (about 60 bytes each in memory).
 PARTITION_TOKENS = 3_000_000
+#: Common prefix tokens of a candidate pair, if it must share so many.
+COMMON = 4
 
 
 # --------------------------------------------------------------------------
@@ -128,11 +130,11 @@ def pair_jaccard(pairs: DataFrame, gs: DataFrame, left: str = "a", right: str =
     return row_jaccard(pairs.join(l, left).join(r, right))
 
 
-def _tokens(gs: DataFrame) -> DataFrame:
-    """``(id, n_grams, n_tok, h)``: one row per distinct gram hash."""
+def _tokens(gs: DataFrame, *keep: str) -> DataFrame:
+    """``(id, n_grams, n_tok, *keep, h)``: one row per distinct gram hash."""
     # an outer explode: of an inner one Spark infers a filter on ``tokens``, and pushes their derivation into its lambdas
     return (gs.filter(F.col("n_grams") > 0)
-            .select("id", "n_grams", F.size("tokens").alias("n_tok"), F.explode_outer("tokens").alias("h")))
+            .select("id", "n_grams", F.size("tokens").alias("n_tok"), *keep, F.explode_outer("tokens").alias("h")))
 
 
 def _prefix_length(t: float):
@@ -162,23 +164,26 @@ def _prefix_tokens(tok: DataFrame, dfs: DataFrame, t: float) -> DataFrame:
     hash to distinct values; a document where two grams share a hash
     (``n_tok < n_grams``) keeps all its tokens (``whole``).
     """
-    return _shared_prefix(tok.join(dfs, "h"), t)
+    return _shared_prefix(tok.join(dfs, "h"), t, 0).drop("ahead")
 
 
-def _shared_prefix(ranked: DataFrame, t: float) -> DataFrame:
-    """``_prefix_tokens`` of rows that carry their ``df``, with ``prev``, the set's token before.
+def _shared_prefix(ranked: DataFrame, t: float, more: int = COMMON - 1, by: tuple[str, ...] = ("id",)) -> DataFrame:
+    """``_prefix_tokens`` of rows that carry their ``df``, with ``prev``, the set's token before, and ``ahead``, 4 bits of
+    each of the ``COMMON - 1`` tokens after; prefixes are ``more`` tokens longer.
 
     Where an id repeats, its sets are ranked together; a token of another one is no ``prev``."""
-    ordered = Window.partitionBy("id").orderBy("df", "h")
+    ordered = Window.partitionBy(*by).orderBy("df", "h")
     span = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     placed = (ranked.withColumn("_r", F.row_number().over(ordered))
               .withColumn("_m", F.count(F.lit(1)).over(span))
               .withColumn("pos", F.col("n_tok") - F.col("_m") + F.col("_r"))
               .withColumn("whole", F.col("n_tok") < F.col("n_grams"))
               .withColumn("_p", F.lag(F.struct("h", "n_grams", "n_tok")).over(ordered))
-              .withColumn("prev", F.expr("IF(_p.n_grams = n_grams AND _p.n_tok = n_tok AND _p.h <> h, _p.h, NULL)")))
-    return (placed.filter(F.col("whole") | (F.col("pos") <= _prefix_length(t)))
-            .select("id", "n_grams", "h", "pos", "whole", "prev"))
+              .withColumn("prev", F.expr("IF(_p.n_grams = n_grams AND _p.n_tok = n_tok AND _p.h <> h, _p.h, NULL)"))
+              .withColumn("ahead", sum(F.coalesce(F.shiftleft(F.lead("h", k).over(ordered).bitwiseAND(15).cast("int"), 4 * k - 4), F.lit(0))
+                                       for k in range(1, COMMON))))
+    return (placed.filter(F.col("whole") | (F.col("pos") <= _prefix_length(t) + more))
+            .select(*by, "n_grams", "h", "pos", "whole", "prev", "ahead"))
 
 
 def _least_overlap(na: str, nb: str, t: float):
@@ -268,14 +273,11 @@ def exact_duplicates(gs: DataFrame) -> DataFrame:
 
 def candidate_pairs(gs: DataFrame, threshold: float, members: DataFrame | None = None,
                     persist: bool = True) -> DataFrame:
-    """Distinct ``(a, b)``, ``a < b``, among representatives whose prefixes
-    meet under the size and position bounds: a superset of the Jaccard matches."""
+    """Distinct ``(a, b)``, ``a < b``, among representatives whose prefixes meet often
+    enough under the size and position bounds: a superset of the Jaccard matches."""
     t = float(threshold)
     tok = _tokens(representatives(gs, class_members(gs) if members is None else members))
-    spark = gs.sparkSession
-    # as many rows in a partition as its sorts hold in memory, whatever the corpus
-    total = gs.agg(F.sum(F.col("n_grams").cast("bigint"))).first()[0] or 0
-    spread = max(default_buckets(spark), -(-total // PARTITION_TOKENS))
+    spread = _spread(gs)
     # both sizes travel as one number, whose second part most documents lack
     packed = tok.select("id", F.expr("n_grams + shiftleft(CAST(n_grams - n_tok AS BIGINT), 32)").alias("_sizes"), "h")
     ranked = _shared_tokens(packed.repartition(spread, "h")).repartition(spread, "id").select(
@@ -284,26 +286,88 @@ def candidate_pairs(gs: DataFrame, threshold: float, members: DataFrame | None =
     pre = _shared_prefix(ranked, t)
     if persist:
         # both sides of the self-join read the prefix rows: dealt by token and written once, neither is shuffled again
-        pre = write_bucketed(pre, scratch_path(spark, "prefix_tokens"), ("h",), spread)
-    return _meetings(pre, t).distinct()
+        pre = write_bucketed(pre, scratch_path(gs.sparkSession, "prefix_tokens"), ("h",), spread)
+    return _meetings(pre, t)
+
+
+def cross_candidates(probes_gs: DataFrame, corpus_gs: DataFrame, threshold: float) -> DataFrame:
+    """Distinct ``(a, b)``, ``a`` of the corpus and ``b`` a probe, whose prefixes meet as those of ``candidate_pairs`` do.
+
+    Both sides are ranked together, and a probe that is in the corpus is dealt once (``sides`` 3; 1 is a probe, 2 of the
+    corpus). Tokens that no probe shares with another set of the corpus sort first, like those of one document in the
+    self-join, and go no further than the first exchange."""
+    t = float(threshold)
+    key = ["id", "norm_hash"]
+    both = materialize(probes_gs.select(*key).join(corpus_gs.select(*key), key, "left_semi").distinct(), "probes-stored").withColumn("_in", F.lit(1))
+    side = lambda gs, k: _tokens(gs, "_in").select(
+        "id", F.expr(f"n_grams + shiftleft(CAST(n_grams - n_tok AS BIGINT), 32) + shiftleft({k}, 61)").alias("_sizes"), "h")
+    rows = side(corpus_gs.join(both, key, "left"), "IF(_in = 1, 3L, 2L)").unionAll(
+        side(probes_gs.join(both, key, "left_anti").withColumn("_in", F.lit(0)), "1L"))
+    spread = _spread(corpus_gs)
+    held, sides = Window.partitionBy("h"), "CAST(shiftright(_sizes, 61) AS INT)"
+    shared = (rows.repartition(spread, "h").withColumn("df", F.count(F.lit(1)).over(held))
+              .withColumn("_either", F.expr(f"bit_or({sides})").over(held)).filter("df > 1 AND _either = 3").drop("_either"))
+    ranked = shared.repartition(spread, "id").select(
+        "id", F.expr(sides).alias("sides"), F.expr("CAST(_sizes & 4294967295 AS INT)").alias("n_grams"), "h", "df",
+        F.expr("CAST((_sizes & 4294967295) - (shiftright(_sizes, 32) & 536870911) AS INT)").alias("n_tok"))
+    pre = _shared_prefix(ranked, t, by=("id", "sides"))
+    met = _meetings(write_bucketed(pre, scratch_path(probes_gs.sparkSession, "prefix_tokens"), ("h",), spread), t)
+    # where rows share an id, they may be similar too
+    again = lambda gs, other: gs.filter("n_grams > 0").groupBy("id").count().filter("count > 1").join(other.select("id"), "id", "left_semi")
+    again = again(corpus_gs, probes_gs).unionAll(again(probes_gs, corpus_gs)).select(F.col("id").alias("a"), F.col("id").alias("b"))
+    return met.unionAll(again).distinct()
+
+
+def _spread(*sets: DataFrame) -> int:
+    """Partitions of token rows: as many rows in each as its sorts hold in memory, whatever the corpus."""
+    total = sum(gs.agg(F.sum(F.col("n_grams").cast("bigint"))).first()[0] or 0 for gs in sets)
+    return max(default_buckets(sets[0].sparkSession), -(-total // PARTITION_TOKENS))
 
 
 def _meetings(pre: DataFrame, t: float) -> DataFrame:
-    """``(a, b)``, ``a < b``, for each run of common tokens where two prefixes meet under the bounds."""
+    """``(a, b)``, ``a < b``, whose prefixes share ``COMMON`` tokens under the bounds, or as many as the pair must share.
+
+    Where the rows tell their ``sides``, ``a`` is of the corpus and ``b`` a probe.
+
+    The first ``COMMON`` common tokens of a pair lie in prefixes that are longer by ``COMMON - 1``, the first of them in
+    those that are not. Of a run of common tokens only the first makes a row, which tells by ``ahead`` how many follow:
+    bits that agree by chance count too, so no pair is lost."""
     n = F.col("n_grams")
-    index_length = n - F.ceil(n * F.lit(2 * t / (1 + t)) - F.lit(EPS)) + 1
+    cross = "sides" in pre.columns
+    sides = lambda name: [F.col("sides").alias(name)] if cross else []
+    index_length = n - F.ceil(n * F.lit(2 * t / (1 + t)) - F.lit(EPS)) + COMMON
     small = (pre.filter(F.col("whole") | (F.col("pos") <= index_length))
              .select(F.col("id").alias("a"), F.col("n_grams").alias("na"), "h", F.col("pos").alias("pa"), F.col("whole").alias("wa"),
-                     F.col("prev").alias("va")))
+                     F.col("prev").alias("va"), F.col("ahead").alias("xa"), *sides("sa")))
     large = pre.select(F.col("id").alias("b"), F.col("n_grams").alias("nb"), "h", F.col("pos").alias("pb"), F.col("whole").alias("wb"),
-                       F.col("prev").alias("vb"))
+                       F.col("prev").alias("vb"), F.col("ahead").alias("xb"), *sides("sb"))
     ordered = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
-    room = 1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= _least_overlap("na", "nb", t)
+    pairs = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    if cross:
+        # either may be the probe of the other, or both
+        ordered = (ordered | F.expr("na = nb AND a = b AND sa < sb")) & F.expr("(sa | sb) = 3")
+        pairs = [F.explode(F.expr("filter(array(IF(sa >= 2 AND sb IN (1, 3), named_struct('a', a, 'b', b), NULL), "
+                                  "IF(sb >= 2 AND sa IN (1, 3), named_struct('a', b, 'b', a), NULL)), p -> p IS NOT NULL)")).alias("p")]
+    # so many tokens from here on may lie in the longer prefixes
+    room = COMMON + 1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - _least_overlap("na", "nb", t)
     # sets that share the token before too have met there, with more room: of a run of common tokens only the first counts
     first = F.coalesce(F.col("va") != F.col("vb"), F.lit(True))
-    return (small.join(large, "h")
-            .filter(first & ordered & _size_bound("na", "nb", t) & (F.col("wa") | F.col("wb") | room))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    # the lowest four bits that differ end the run
+    apart = F.col("xa").bitwiseXOR(F.col("xb"))
+    run = F.lit(COMMON)
+    for k in range(COMMON - 1, 0, -1):
+        run = F.when(apart.bitwiseAND((1 << 4 * k) - 1) != 0, F.lit(k)).otherwise(run)
+    exempt = F.col("wa") | F.col("wb")
+    met = (small.join(large, "h")
+           .filter(first & ordered & _size_bound("na", "nb", t) & (exempt | (room > 0)))
+           .select(*(pairs if not cross else ["a", "b", "sa", "sb"]),
+                   F.when(exempt, F.lit(COMMON)).otherwise(F.least(run, room).cast("int")).alias("common"),
+                   (exempt | (room >= COMMON)).alias("early"),
+                   F.least(_least_overlap("na", "nb", t), F.lit(COMMON)).cast("int").alias("least")))
+    keys = [c for c in met.columns if c not in ("common", "early", "least")]
+    met = (met.groupBy(*keys).agg(F.sum("common").alias("common"), F.max("early").alias("early"), F.min("least").alias("least"))
+           .filter("early AND common >= least"))
+    return met.select(*pairs).select("p.*") if cross else met.select("a", "b")
 
 
 def class_links(gs: DataFrame, threshold: float = T.DEFAULT_THRESHOLD, members: DataFrame | None = None) -> DataFrame:
@@ -382,14 +446,19 @@ def cross_similar(probes_gs: DataFrame, corpus_gs: DataFrame,
 
     Copies on either side are joined by their representatives and expanded
     afterwards. ``postings`` are the stored tokens of the corpus's
-    representatives (written here without). ``exclude_self`` skips a probe
-    meeting its own id.
+    representatives; without, the prefixes of both sides are joined, since
+    tokens that are met only once are not worth storing. ``exclude_self`` skips
+    a probe meeting its own id.
     """
+    T.check_threshold(threshold)
     p_members = class_members(probes_gs)
     c_members = class_members(corpus_gs) if corpus_members is None else corpus_members
+    probes = representatives(probes_gs, p_members)
     if postings is None:
-        postings = corpus_postings(corpus_gs, c_members)
-    near = cross_links(representatives(probes_gs, p_members), corpus_gs, postings, threshold)
+        cand = materialize(cross_candidates(probes, representatives(corpus_gs, c_members), threshold), "candidates")
+        near = grouped_jaccard(cand, corpus_gs, probes_gs, float(threshold))
+    else:
+        near = cross_links(probes, corpus_gs, postings, threshold)
     near = (_expand(near, c_members, p_members)
             .select(F.col("y").alias("probe"), F.col("x").alias("doc"), F.lit(False).alias("exact"), "jaccard"))
     pm = probes_gs.select(F.col("id").alias("probe"), "norm_hash", F.col("n_grams").alias("_n"))

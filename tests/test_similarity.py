@@ -343,3 +343,66 @@ def test_texts_without_a_pair_are_not_shuffled(spark):
     out = S.class_links(gs, 0.3)
     assert out.count() == 6
     assert "LeftSemi" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _random_sets(spark, texts=300, words=300, of=25):
+    """(gram sets, their words) of random texts, of which every tenth is near to the one before, and some tiny ones."""
+    rnd = random.Random(9)
+    sets = []
+    for i in range(texts):
+        new = {f"w{rnd.randrange(words)}" for _ in range(of)}
+        sets.append(set(sorted(sets[-1])[:of // 2]) | set(sorted(new)[:of // 3]) if i % 10 == 9 else new)
+    sets += [{"one"}, {"one", "two"}, {"one", "two", "three"}, {"one", "two", "four"}]
+    docs = [(i, " ".join(sorted(x))) for i, x in enumerate(sets)]
+    return S.gram_sets(spark.createDataFrame(docs, "file_id long, text string"), 1), sets
+
+
+def test_few_common_tokens_make_no_candidate(spark):
+    """Sets that share a token or two in their prefixes are no candidates; similar ones of any size stay."""
+    gs, sets = _random_sets(spark)
+    want = {(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if len(sets[a] & sets[b]) >= 0.2 * len(sets[a] | sets[b])}
+    some = sum(len(sets[a] & sets[b]) > 0 for a in range(len(sets)) for b in range(a))
+    got = {(r.a, r.b) for r in S.candidate_pairs(gs, 0.2).collect()}
+    assert want <= got and len(want) > 30 and len(got) - len(want) < some / 10
+    assert {(r.a, r.b) for r in S.class_links(gs, 0.2).collect()} == want
+
+
+def test_written_steps_leave_no_shuffle_files(spark):
+    import time
+
+    from corpuscheck.operators.postings import write_bucketed
+    from corpuscheck.session import materialize, scratch_path
+
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {f for f in disk.getAllFiles().mkString("|").split("|") if "shuffle_" in f}
+    before, setting = held(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    rows = spark.range(5000).selectExpr("id % 50 AS k", "id")
+    grouped = materialize(rows.repartition(3, "k").groupBy("k").count(), "grouped")
+    dealt = write_bucketed(rows, scratch_path(spark, "dealt"), ("k",), 3)
+    for _ in range(50):
+        if held() <= before:
+            break
+        time.sleep(0.2)
+    assert held() <= before
+    assert grouped.count() == 50 and dealt.count() == 5000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+
+
+def test_cross_similar_without_postings_deals_prefixes(spark, monkeypatch):
+    """Ten probes of 304 sets: the corpus's tokens are not stored for them."""
+    from corpuscheck.operators import postings as P
+
+    gs, sets = _random_sets(spark)
+    dealt, original = [], P.write_bucketed
+
+    def spy(*args):
+        out = original(*args)
+        dealt.append(out.count())
+        return out
+
+    monkeypatch.setattr(P, "write_bucketed", spy)
+    monkeypatch.setattr(S, "write_bucketed", spy)
+    asked = [9, 19, 29, 39, 49, 100, 200, 301, 302, 303]
+    got = {(r.probe, r.doc) for r in S.cross_similar(gs.filter(F.col("id").isin(asked)), gs, 0.2).collect()}
+    assert got == {(a, b) for a in asked for b in range(len(sets)) if a != b and len(sets[a] & sets[b]) >= 0.2 * len(sets[a] | sets[b])}
+    assert len(got) > 10 and sum(dealt) < 0.7 * gs.agg(F.sum("n_grams")).first()[0]
