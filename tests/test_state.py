@@ -211,3 +211,23 @@ def test_number_of_segments_grows_with_the_logarithm():
             segments = [s for s in segments if s[0] not in names] + [(f"{k}-{level + 1}", level + 1)]
         most = max(most, len(segments))
     assert most <= 7 * 3
+
+
+def test_probe_prefixes_hold_only_tokens_of_the_corpus(spark, monkeypatch):
+    """A probe's other tokens rank first and meet nothing: they are neither ranked nor written."""
+    corpus = _gram_sets(spark, _texts(1, 80))
+    stored = RP.store_corpus(corpus)
+    written, write = {}, S.materialize
+
+    def spy(df, name):
+        written[name] = write(df, name)
+        return written[name]
+
+    monkeypatch.setattr(S, "materialize", spy)
+    texts = _texts(1, 80)[30:50] + [t + " " + " ".join(f"new{i}x{k}" for k in range(8)) for i, t in enumerate(_texts(1, 80)[50:70])]
+    probes = _gram_sets(spark, texts, 500)
+    got = _pairs(S.cross_similar(probes, stored.grams, 0.3, True, stored.postings, stored.members))
+    known = {r.h for r in stored.postings.rows().select("h").collect()}
+    assert {r.h for r in written["probe_prefix"].select("h").collect()} <= known and written["probe_prefix"].count() > 0
+    assert {r.h for r in written["probe_tokens"].select("h").collect()} - known
+    assert got == _pairs(S.cross_similar(probes, corpus, 0.3)) and len(got) > 30
